@@ -56,7 +56,7 @@ def trailing_sales(df: DataFrame, keys: Sequence[str], code: str, date: str, as_
 
 
 def global_counts(df: DataFrame, key: Column, total: str = "n_rows", distinct: str = "n_distinct") -> DataFrame:
-    per_key = df.groupBy(key.alias("_k")).agg(F.count("_k").alias("_n"))
+    per_key = df.select(key.alias("_k")).groupBy("_k").agg(F.count("_k").alias("_n"))
     return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(total), F.count("_k").alias(distinct))
 
 
