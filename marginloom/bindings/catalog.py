@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from marginloom.bindings import relational  # noqa: F401
+from marginloom.bindings import modelling, relational  # noqa: F401
 from marginloom.bindings.registry import BUILDERS, ORACLES, callables
 
 __all__ = ["BUILDERS", "ORACLES", "callables"]

@@ -112,6 +112,12 @@ def half_even_int(c: ColumnLike) -> Column:
     return F.rint(col(c)).cast("int")
 
 
+def scaled_round(c: ColumnLike, digits: int) -> Column:
+    """Round by scaling and rounding half to even, the array-library rule for decimals."""
+    scale = F.lit(10.0 ** digits)
+    return F.rint(col(c) * scale) / scale
+
+
 def date_from_key(c: ColumnLike) -> Column:
     """``yyyyMMdd`` integer key to a date."""
     return F.to_date(col(c).cast("string"), "yyyyMMdd")

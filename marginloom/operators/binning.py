@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marginloom.operators.ordered import exact_percentiles
+from marginloom.functions.scalars import scaled_round
+from marginloom.operators.ordered import percentile_points
 
 
 def step_edges(step: float, count: int) -> list[float]:
@@ -63,17 +64,15 @@ def equal_width_bin(df: DataFrame, column: str, bins: int, out: str = "bin") ->
 
 def quantile_edges(df: DataFrame, column: str, q: int) -> DataFrame:
     """Sorted distinct quantile edges as one array row ``edges`` (at most q + 1 values)."""
-    names = {f"p{i}": i / q for i in range(q + 1)}
-    p = exact_percentiles(df, column, names)
-    return p.select(F.array_sort(F.array_distinct(F.array(*names))).alias("edges"))
+    points = percentile_points(df, column, [i / q for i in range(q + 1)])
+    return points.agg(F.array_sort(F.collect_set("value")).alias("edges"))
 
 
 def quantile_bin(df: DataFrame, column: str, q: int, out: str = "bin") -> DataFrame:
     """Quantile bin number with edges; the first bin includes its lower edge, duplicate edges are dropped."""
     x = F.col(column).cast("double")
     e = F.col("_e")
-    above = sum((F.coalesce((x > F.get(e, F.lit(i))).cast("int"), F.lit(0)) for i in range(1, q + 1)),
-                F.coalesce((x > F.get(e, F.lit(0))).cast("int"), F.lit(0)))
+    above = F.size(F.filter(e, lambda edge: x > edge))
     number = F.when(x.isNotNull(), F.greatest(above, F.lit(1)))
     return (df.withColumn("_e", quantile_edges(df, column, q).scalar()).withColumn(out, number)
             .withColumn(f"{out}_lo", F.get(e, F.col(out) - 1)).withColumn(f"{out}_hi", F.get(e, F.col(out)))
@@ -84,6 +83,6 @@ def bin_report(df: DataFrame, column: str, score: str, actual: str, method: str
     """Per bin: scored rows, mean score, mean actual, salience %. Rows without a bin form a group of their own."""
     binned = equal_width_bin(df, column, q) if method == "cut" else quantile_bin(df, column, q)
     out = binned.groupBy("bin", "bin_lo", "bin_hi").agg(
-        F.count(score).alias("n"), F.round(F.avg(score), 2).alias("score_mean"), F.avg(actual).alias("actual_mean"))
+        F.count(score).alias("n"), scaled_round(F.avg(score), 2).alias("score_mean"), F.avg(actual).alias("actual_mean"))
     total = out.agg(F.sum("n")).scalar()
-    return out.withColumn("salience_pct", F.round(F.col("n") * 100.0 / total, 2))
+    return out.withColumn("salience_pct", scaled_round(F.col("n") * 100.0 / total, 2))

@@ -63,20 +63,32 @@ def running_totals(df: DataFrame, value: str, sums: Mapping[str, Column], keys:
         *[f"tot_{n}" for n in sums])
 
 
-def exact_percentiles(df: DataFrame, value: str, fractions: Mapping[str, float],
+def percentile_points(df: DataFrame, value: str, fractions: Sequence[float],
                       keys: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
-    """Linearly interpolated percentiles per group, exact for groups of any size."""
+    """Linearly interpolated percentiles, one row per (keys, ``point``) with ``point`` the index in ``fractions``.
+
+    Exact for groups of any size: only the at most two rows that hold a percentile's neighbours go on
+    to the last aggregation.
+    """
     ranked = running_totals(df, value, {"n": F.count(F.lit(1))}, keys, slices=slices)
-    v = F.col(value).cast("double")
-    picks: list[Column] = [F.max("tot_n").alias("_n")]
-    for name, f in fractions.items():
-        pos = F.lit(float(f)) * (F.col("tot_n") - 1)
-        picks.append(F.min(F.when(F.col("cum_n") > F.floor(pos), v)).alias(f"_lo_{name}"))
-        picks.append(F.min(F.when(F.col("cum_n") > F.ceil(pos), v)).alias(f"_hi_{name}"))
-    picked = ranked.groupBy(*keys).agg(*picks)
-    out = []
-    for name, f in fractions.items():
-        pos = F.lit(float(f)) * (F.col("_n") - 1)
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        out.append((lo + (hi - lo) * (pos - F.floor(pos))).alias(name))
-    return picked.select(*keys, *out)
+    points = F.array(*[
+        F.struct(F.lit(i).alias("point"), (F.lit(float(f)) * (F.col("tot_n") - 1)).alias("pos"))
+        for i, f in enumerate(fractions)])
+
+    def held(rank: Column) -> Column:
+        return (rank >= F.col("cum_n") - F.col("n")) & (rank < F.col("cum_n"))
+
+    hits = ranked.select(*keys, F.col(value).cast("double").alias("_v"), "cum_n", "n", F.explode(F.filter(
+        points, lambda p: held(F.floor(p["pos"])) | held(F.ceil(p["pos"])))).alias("_p"))
+    lo = F.min(F.when(held(F.floor("_p.pos")), F.col("_v")))
+    hi = F.min(F.when(held(F.ceil("_p.pos")), F.col("_v")))
+    pos = F.max("_p.pos")
+    return hits.groupBy(*keys, F.col("_p.point").alias("point")).agg((lo + (hi - lo) * (pos - F.floor(pos))).alias("value"))
+
+
+def exact_percentiles(df: DataFrame, value: str, fractions: Mapping[str, float],
+                      keys: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
+    """The same percentiles as one named column each, one row per group."""
+    points = percentile_points(df, value, list(fractions.values()), keys, slices)
+    return points.groupBy(*keys).agg(*[
+        F.max(F.when(F.col("point") == i, F.col("value"))).alias(name) for i, name in enumerate(fractions)])
