@@ -35,11 +35,11 @@ def _g(k): return _POG.format(k=k)
 def _variant(i: int, name: str | None = None, key: str = "sub") -> str:
     """Cut-off columns of price variant ``i``: shares grow with the variant, some entries are missing."""
     label = name or f"concat('VAR_', cast({i} as string))"
-    gm = f"cast({key} % 7 as double) * 0.0031e0 + {0.0213 + 0.0107 * i:.4f}e0"
+    gm = f"cast({key} % 7 as double) / 323e0 + {i + 2}e0 / 94e0"
     gm = f"case when {key} % 11 = {i} then null else {gm} end"
     return (f"{label} as variant{i}_name, {gm} as variant{i}_min_gm_percent, "
             f"cast({key} % 4 + {3 * i} as double) as variant{i}_gm_floor, "
-            f"cast({key} % 5 as double) * 0.0017e0 + {0.0041 * i:.4f}e0 as variant{i}_nm_percent, "
+            f"cast({key} % 5 as double) / 587e0 + {i}e0 / 241e0 as variant{i}_nm_percent, "
             f"cast(({key} + {i}) % 2 as int) as variant{i}_adjusted")
 
 
@@ -207,7 +207,7 @@ FRAME_SQL: dict[str, str] = {
         from (select distinct p_partkey % 40 as sub, 0e0 as lo, 700e0 as hi from {{part}}
               union all select distinct p_partkey % 40, 701e0, 99999e0 from {{part}}) s""",
     "reduce_sp": f"""
-        select {_v('s_suppkey')} as vendor_code, nullif(cast(s_suppkey % 4 as double) * 0.0043e0, 0e0) as reduce_sp_pct
+        select {_v('s_suppkey')} as vendor_code, nullif(cast(s_suppkey % 4 as double) / 233e0, 0e0) as reduce_sp_pct
         from {{supplier}}""",
     "gm_movement": f"""
         select distinct {_c('l_partkey')} as subcategory_id, {_v('l_suppkey')} as vendor_code,

@@ -8,12 +8,14 @@ data are lookup grids whose row count is checked first (see ``range_lookup``).
 from __future__ import annotations
 
 import datetime as dt
+import json
 import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def left_default(left: DataFrame, right: DataFrame, keys: Sequence[str], defaults: Mapping[str, object]) -> DataFrame:
@@ -63,41 +65,38 @@ def range_lookup(df: DataFrame, grid: DataFrame, targets: Mapping[str, str], low
     the at most three segments that touch ``[u, u+1]`` units, so each lookup is one array access and
     all values share one scan. A larger grid is joined on the cell number instead.
     """
-    edges = grid.select(F.col(low).cast("double").alias("lo"), F.col(high).cast("double").alias("hi")) \
-        .where("lo < hi").orderBy("lo").limit(max_rows + 1).collect()
-    small = len(edges) <= max_rows
+    rows = [r.asDict() for r in grid.where(F.col(low) < F.col(high)).orderBy(low).limit(max_rows + 1).collect()]
+    small = len(rows) <= max_rows
     if small:
-        if any(a["hi"] > b["lo"] for a, b in zip(edges, edges[1:])):
+        if any(a[high] > b[low] for a, b in zip(rows, rows[1:])):
             raise ValueError("range_lookup needs non-overlapping segments")
-        if not edges:
-            nothing = F.lit(None).cast(grid.schema)
-            return df.withColumns({out: nothing for out in targets.values()})
-        unit = min(e["hi"] - e["lo"] for e in edges)
-        first = math.floor(edges[0]["lo"] / unit)
-        small = math.ceil(edges[-1]["hi"] / unit) - first <= max_units
+        if not rows:
+            return df.withColumns({out: F.lit(None).cast(grid.schema) for out in targets.values()})
+        unit = min(r[high] - r[low] for r in rows)
+        first = math.floor(rows[0][low] / unit)
+        span = math.floor(rows[-1][high] / unit) - first + 1
+        small = span <= max_units
     else:
-        unit = grid.agg(F.min(F.col(high) - F.col(low))).first()[0]
+        unit = grid.where(F.col(low) < F.col(high)).agg(F.min(F.col(high) - F.col(low))).first()[0]
 
-    payload = F.struct(*[F.col(c) for c in grid.columns])
-    cells = (grid.where(F.col(low) < F.col(high))
-             .select(payload.alias("seg"), F.explode(F.sequence(
-                 F.floor(F.col(low) / unit), F.floor(F.col(high) / unit))).alias("cell"),
-                 F.col(low).alias("lo"), F.col(high).alias("hi")))
     if small:
-        touching = cells.groupBy("cell").agg(F.array_sort(F.collect_list(F.struct("lo", "hi", "seg"))).alias("segs"))
-        span = touching.agg(F.min("cell").alias("a"), F.max("cell").alias("b")) \
-            .select(F.explode(F.sequence("a", "b")).alias("cell"))
-        index = span.join(touching, "cell", "left").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("cell", "segs"))), lambda e: e["segs"]).alias("cells"))
-        indexed = df.withColumn("_cells", index.scalar())
+        cells: list[list] = [[] for _ in range(span)]
+        for r in rows:
+            for u in range(math.floor(r[low] / unit), math.floor(r[high] / unit) + 1):
+                cells[u - first].append(r)
+        # A constant expression: folded into one literal, so rows do not carry the grid along.
+        index = F.from_json(F.lit(json.dumps(cells, default=str)), T.ArrayType(T.ArrayType(grid.schema)))
         chosen = {}
         for value, out in targets.items():
-            cell = F.get(F.col("_cells"), (F.floor(F.col(value) / unit) - first).cast("int"))
-            held = [F.get(cell, F.lit(i)) for i in range(3)]
-            chosen[out] = F.coalesce(*[
-                F.when((F.col(value) >= s["lo"]) & (F.col(value) < s["hi"]), s["seg"]) for s in held])
-        return indexed.withColumns(chosen).drop("_cells")
+            x = F.col(value)
+            held = [F.get(F.get(index, (F.floor(x / unit) - first).cast("int")), F.lit(i)) for i in range(3)]
+            chosen[out] = F.coalesce(*[F.when((x >= s[low]) & (x < s[high]), s) for s in held])
+        return df.withColumns(chosen)
 
+    cells = (grid.where(F.col(low) < F.col(high))
+             .select(F.struct(*grid.columns).alias("seg"), F.explode(F.sequence(
+                 F.floor(F.col(low) / unit), F.floor(F.col(high) / unit))).alias("cell"),
+                 F.col(low).alias("lo"), F.col(high).alias("hi")))
     for value, out in targets.items():
         one = cells.select("cell", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("seg").alias(out))
         df = df.withColumn("_cell", F.floor(F.col(value) / unit))

@@ -269,7 +269,7 @@ def build_profiles(t, as_of: dt.date, policy: Policy, top_vendors: DataFrame) ->
 
 
 def attach_profiles(base: DataFrame, p: Profiles) -> DataFrame:
-    """Listing base with every looked-up column; rows of a zero seller price are dropped.
+    """Listing base with the looked-up columns except the cut-off bands; rows of a zero seller price are dropped.
 
     The pair-keyed lookup comes last: its partitioning then also serves the distinct that follows.
     """
@@ -277,8 +277,6 @@ def attach_profiles(base: DataFrame, p: Profiles) -> DataFrame:
     out = J.casefold_join(out, p.bids, [("vendor_code", "vendor_code")], "left")
     out = J.casefold_join(out, p.active, [("supc", "supc"), ("vendor_code", "seller_code")], "left")
     out = J.casefold_join(out, p.terms.withColumnRenamed("brand_id", "_b"), [("brand_id", "_b"), ("vendor_code", "seller_code")], "left")
-    out = J.band_join(out, p.bands_old, ["subcategory_id"], "selling_price", "from_price", "to_price").drop("from_price", "to_price")
-    out = J.band_join(out, p.bands, ["subcategory_id"], "selling_price", "from_price", "to_price").drop("from_price", "to_price")
     out = J.membership_flag(out, p.pogs, ["pog_id"], "high_cb_pog")
     for keys, frame in p.by_key:
         out = out.join(frame, list(keys), "left")
@@ -334,18 +332,33 @@ def monetisation_rule() -> Column:
                 .when(F.col("ro_type") == "LSM", S.nz("ratio") * basis).otherwise(0.0))
 
 
-VARIANT_FIELDS = ("name", "min_gm_percent", "gm_floor", "nm_percent", "adjusted")
+def attach_bands(df: DataFrame, bands: DataFrame, value: str = "selling_price") -> DataFrame:
+    """Cut-off columns of the price band. A price on a shared endpoint gets one row per different cut-off set.
+
+    Bands of a subcategory with equal cut-offs are folded into one row with several ranges, so a distinct
+    input stays distinct and the many cut-off columns need not take part in a deduplication.
+    """
+    cutoffs = [c for c in bands.columns if c not in ("subcategory_id", "from_price", "to_price")]
+    folded = bands.groupBy(F.col("subcategory_id").alias("_sub"), *cutoffs).agg(
+        F.collect_set(F.struct("from_price", "to_price")).alias("_ranges"))
+    hit = F.exists("_ranges", lambda r: F.col(value).between(r["from_price"], r["to_price"]))
+    return df.join(folded, (F.col("subcategory_id") == F.col("_sub")) & hit, "left").drop("_sub", "_ranges")
 
 
 def exceptions_stage(base: DataFrame, profiles: Profiles) -> DataFrame:
+    """Base rows with flags, recoveries and cut-offs, each combination once.
+
+    Rows are made distinct while they are still narrow; the cut-off columns join afterwards.
+    """
     looked_up = attach_profiles(base, profiles)
     derived = {**exception_flags(), **return_recoveries(), "ro_monetisation": monetisation_rule(),
                "motz_cb": S.nz("cash_back"), "motz_add": F.coalesce("motz_add", F.lit("No")),
                "pl_bau_op": S.nz("bau_op"), "pl_bau_cb": S.nz("bau_cb"), "pl_sale_op": S.nz("sale_op"), "pl_sale_cb": S.nz("sale_cb"),
                "bau_op": S.nz("bau_price", DEFAULT_OP["bau_op"]), "sale_op": S.nz("sale_price", DEFAULT_OP["sale_op"])}
-    carried = ["high_cb_pog", *[f"variant{i}_{x}" for i in range(1, 9) for x in VARIANT_FIELDS], "reduce_sp_pct",
-               "cm_gm_movement_pct", "bid", "rto_factor", "rpr_factor", "category_group", "is_core", "new_logic_status", "seller_zone"]
-    return looked_up.select(*base.columns, *carried, *[c.alias(n) for n, c in derived.items()]).distinct()
+    carried = ["high_cb_pog", "reduce_sp_pct", "cm_gm_movement_pct", "bid", "rto_factor", "rpr_factor", "category_group", "is_core",
+               "new_logic_status", "seller_zone"]
+    narrow = looked_up.select(*base.columns, *carried, *[c.alias(n) for n, c in derived.items()]).distinct()
+    return attach_bands(attach_bands(narrow, profiles.bands_old), profiles.bands)
 
 
 # ---- step 5: decisions and cashback ------------------------------------------------------------------------
@@ -365,42 +378,44 @@ def live_flag(as_of: dt.date, policy: Policy) -> Column:
     return S.flag((F.col("is_enabled_with_inv") == 1) | (fresh & sub & recent))
 
 
-def tax_factor(variant: int) -> Column:
-    return F.when(F.col(f"variant{variant}_adjusted") == 0, 1.0).otherwise(TAX)
+# The formulas below repeat per variant, so they are written as SQL text and parsed in one call each.
 
 
-def margin_floor(variant: int) -> Column:
-    """Floor on the margin amount: grows with the weight slab up to the cap."""
-    floor = F.col(f"variant{variant}_gm_floor")
-    return S.least_strict(floor + (F.col("slab") - 1) * SLAB_STEP, floor + SLAB_CAP * SLAB_STEP)
+def tax_factor(variant: int) -> str:
+    return f"if(variant{variant}_adjusted = 0, 1D, {TAX}D)"
 
 
-def cashback_cap(variant: int, reduced: bool) -> Column:
-    """Cashback that still leaves the minimum margin percentage and the margin floor; never negative."""
-    sp, share = F.col("selling_price"), F.col("share")
-    gm = F.col(f"variant{variant}_min_gm_percent")
-    if reduced:
-        gm = gm + S.nz("reduce_sp_pct")
-    keep_pct = F.coalesce(gm, F.try_divide(share, sp))
-    room = S.least_strict(share - keep_pct * sp, share - margin_floor(variant) - F.col(f"variant{variant}_nm_percent") * sp)
-    amount = room * tax_factor(variant)
-    return F.when(amount <= 0, 0.0).otherwise(amount)
+def margin_floor(variant: int) -> str:
+    """Floor on the margin amount: grows with the weight slab up to the cap; NULL if slab or floor is missing."""
+    floor = f"variant{variant}_gm_floor"
+    return f"if(slab is null, null, least({floor} + (slab - 1) * {SLAB_STEP}, {floor} + {SLAB_CAP * SLAB_STEP}))"
 
 
-def sale_addons(variant: int, policy: Policy) -> Column:
-    sp = F.col("selling_price")
-    bid = F.when(F.col(f"variant{variant}_name") == policy.bid_tag, sp * S.nz("bid") / BID_SCALE).otherwise(0.0)
-    listed = (F.when(F.col("vendor_code").isin(list(policy.addon_vendors)), sp * policy.addon_rate).otherwise(0.0)
-              if policy.addon_vendors else F.lit(0.0))
-    return bid + listed
+def cashback_cap(variant: int, reduced: bool) -> str:
+    """Cashback that still leaves the minimum margin percentage and the margin floor; never negative."""
+    gm = f"variant{variant}_min_gm_percent"
+    if reduced:
+        gm += " + coalesce(reduce_sp_pct, 0D)"
+    by_pct = f"(share - coalesce({gm}, try_divide(share, selling_price)) * selling_price)"
+    by_floor = f"(share - {margin_floor(variant)} - variant{variant}_nm_percent * selling_price)"
+    amount = f"if({by_pct} is null or {by_floor} is null, null, least({by_pct}, {by_floor}) * {tax_factor(variant)})"
+    return f"if({amount} <= 0, 0D, {amount})"
+
+
+def sale_addons(variant: int, policy: Policy) -> str:
+    out = f"if(variant{variant}_name = '{policy.bid_tag}', selling_price * coalesce(bid, 0D) / {BID_SCALE:.0f}D, 0D)"
+    if policy.addon_vendors:
+        codes = ", ".join(f"'{c}'" for c in policy.addon_vendors)
+        out = f"({out} + if(vendor_code in ({codes}), selling_price * {policy.addon_rate}D, 0D))"
+    return out
 
 
 def base_cashbacks() -> dict[str, Column]:
-    return {n: cashback_cap(v, reduced=True) for n, v in BASE_VARIANTS.items() if n not in SAME_AS}
+    return {n: F.expr(cashback_cap(v, reduced=True)) for n, v in BASE_VARIANTS.items() if n not in SAME_AS}
 
 
 def sale_cashbacks(policy: Policy) -> dict[str, Column]:
-    return {n: cashback_cap(v, reduced=False) + sale_addons(v, policy) for n, v in SALE_VARIANTS.items()}
+    return {n: F.expr(f"{cashback_cap(v, reduced=False)} + {sale_addons(v, policy)}") for n, v in SALE_VARIANTS.items()}
 
 
 def decisions(df: DataFrame, pushed: DataFrame, mapping: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
@@ -419,38 +434,41 @@ def cashback_stage(df: DataFrame, pushed: DataFrame, mapping: DataFrame, as_of:
 POINTS = ("rounding", "rounding_1", "rounding_2", "rounding_3", "rounding_4", "rounding_next")
 
 
-def round_to_point(cb: str, variant: int, seg: Column) -> Column:
-    """Move the price ``vip - cb`` to a neighbouring price point of its segment.
+def round_to_point(cb: str, price: str, floor: str, tax: str, seg: str) -> Column:
+    """Move a price ``vip - cb`` to a neighbouring price point of its segment; all arguments are column names.
 
     Spans are tried in order: the whole segment, then between consecutive points. In a span the nearer
     end wins; a lower price is taken only if the margin floor survives, a higher one only if the
     cashback stays non-negative. A span with a missing end is skipped.
     """
-    c, share = F.col(cb), F.col("share")
-    p = F.col("vip_selling_price") - c
-    points = [seg[n] for n in POINTS]
-    spans = [(points[0], points[-1], p < points[-1])]
-    spans += [(lo, hi, p.between(lo, hi)) for lo, hi in zip(points, points[1:])]
+    points = [f"{seg}.{n}" for n in POINTS]
+    spans = [(points[0], points[-1], f"{price} < {points[-1]}")]
+    spans += [(lo, hi, f"{price} between {lo} and {hi}") for lo, hi in zip(points, points[1:])]
     tried = []
     for lo, hi, inside in spans:
-        up, down = hi - p, p - lo
-        affordable = share - (c + down) / tax_factor(variant) >= margin_floor(variant)
-        can_rise = c - up >= 0
-        tried.append(F.when(inside & (up <= down) & can_rise, c - up)
-                     .when(inside & (up >= down) & affordable, c + down)
-                     .when(inside & (up >= down) & can_rise, c - up))
-    stays = (p < ROUND_FROM) | (p >= ROUND_TO) | (p == points[0]) | (p == points[-1])
-    return F.when(S.is_true(stays), c).otherwise(F.coalesce(*tried, c))
+        up, down = f"({hi} - {price})", f"({price} - {lo})"
+        affordable = f"share - ({cb} + {down}) / {tax} >= {floor}"
+        tried.append(f"when {inside} and {up} <= {down} and {cb} - {up} >= 0 then {cb} - {up} "
+                     f"when {inside} and {up} >= {down} and {affordable} then {cb} + {down} "
+                     f"when {inside} and {up} >= {down} and {cb} - {up} >= 0 then {cb} - {up}")
+    stays = f"{price} < {ROUND_FROM} or {price} >= {ROUND_TO} or {price} = {points[0]} or {price} = {points[-1]}"
+    return F.expr(f"case when {stays} then {cb} {' '.join(tried)} else {cb} end")
 
 
 def rounding_stage(df: DataFrame, price_points: DataFrame) -> DataFrame:
-    """``<cashback>_rounded`` for every cashback; all prices share one grid lookup."""
+    """``<cashback>_rounded`` for every cashback; all prices share one grid lookup.
+
+    Prices, floors and tax factors are projected once ahead of the long conditions that use them.
+    """
     variants = {n: v for n, v in {**BASE_VARIANTS, **SALE_VARIANTS}.items() if n not in SAME_AS}
-    priced = df.withColumns({f"_p_{n}": F.col("vip_selling_price") - F.col(n) for n in variants})
-    found = J.range_lookup(priced, price_points, {f"_p_{n}": f"_g_{n}" for n in variants}, "rounding", "rounding_next")
-    rounded = found.withColumns({f"{n}_rounded": round_to_point(n, v, F.col(f"_g_{n}")) for n, v in variants.items()})
-    rounded = rounded.drop(*[f"_p_{n}" for n in variants], *[f"_g_{n}" for n in variants])
-    return rounded.withColumns({f"{n}{s}": F.col(f"{o}{s}") for n, o in SAME_AS.items() for s in ("", "_rounded")})
+    inputs = {f"_p_{n}": F.expr(f"vip_selling_price - {n}") for n in variants}
+    for v in set(variants.values()):
+        inputs |= {f"_f_{v}": F.expr(margin_floor(v)), f"_t_{v}": F.expr(tax_factor(v))}
+    found = J.range_lookup(df.withColumns(inputs), price_points, {f"_p_{n}": f"_g_{n}" for n in variants},
+                           "rounding", "rounding_next")
+    rounded = {f"{n}_rounded": round_to_point(n, f"_p_{n}", f"_f_{v}", f"_t_{v}", f"_g_{n}") for n, v in variants.items()}
+    out = found.withColumns(rounded).drop(*inputs, *[f"_g_{n}" for n in variants])
+    return out.withColumns({f"{n}{s}": F.col(f"{o}{s}") for n, o in SAME_AS.items() for s in ("", "_rounded")})
 
 
 # ---- step 7: list policies -------------------------------------------------------------------------------------
@@ -485,25 +503,25 @@ def participation_policy(general: str, bidder: str, listed: str, policy: Policy)
             .when(part.isin("No", "Other"), F.col(general)).otherwise(F.col("base_cb_rounded")))
 
 
-def zone_sale_policy(list_c: Column, list_d: Column) -> Column:
-    """Sale list by zone: red sellers stay on the everyday rule, green ones get the stronger sale."""
-    zone = F.col("seller_zone")
+def zone_sale_policy() -> Column:
+    """Sale list by zone, from lists C and D: red sellers stay on the everyday rule, green ones get the stronger sale."""
+    zone, list_c, list_d = F.col("seller_zone"), F.col("list_c_cb"), F.col("list_d_cb")
     return (F.when((F.col("is_hard_exception") == 1) & (F.col("sale_variant") == "No_CB"), 0.0)
             .when(zone == "Red", bau_policy("base_cb3_rounded")).when(zone == "Green", list_d).otherwise(list_c))
 
 
 def list_policies(policy: Policy) -> dict[str, Column]:
-    list_c = participation_policy("sale4_cb_rounded", "sale3_cb_rounded", "base_cb3_rounded", policy)
-    list_d = participation_policy("sale2_cb_rounded", "sale1_cb_rounded", "base_cb3_rounded", policy)
     everyday = bau_policy("base_cb_rounded")
-    return {"list_a_cb": everyday, "list_b_cb": everyday, "list_c_cb": list_c, "list_d_cb": list_d, "list_e_cb": zone_policy(),
-            "list_f_cb": zone_sale_policy(list_c, list_d), "list_g_cb": everyday, "list_h_cb": bau_policy("base_cb2_rounded"),
-            "list_i_cb": everyday,
+    return {"list_a_cb": everyday, "list_b_cb": everyday,
+            "list_c_cb": participation_policy("sale4_cb_rounded", "sale3_cb_rounded", "base_cb3_rounded", policy),
+            "list_d_cb": participation_policy("sale2_cb_rounded", "sale1_cb_rounded", "base_cb3_rounded", policy),
+            "list_e_cb": zone_policy(), "list_g_cb": everyday, "list_h_cb": bau_policy("base_cb2_rounded"), "list_i_cb": everyday,
             "list_j_cb": participation_policy("sale4_cb_rounded", "sale3_cb_rounded", "base_cb_rounded", policy)}
 
 
 def list_stage(df: DataFrame, policy: Policy) -> DataFrame:
-    return df.withColumns({**list_policies(policy), "cb_update_flag": update_priority()})
+    return df.withColumns({**list_policies(policy), "cb_update_flag": update_priority()}) \
+        .withColumn("list_f_cb", zone_sale_policy())
 
 
 # ---- step 8: competitor ladder (not part of the daily chain) -----------------------------------------------------

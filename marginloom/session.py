@@ -16,9 +16,6 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Listing rows carry well over a hundred columns through the pricing stages; the
-    # default of 100 fields would switch whole-stage code generation off for them.
-    "spark.sql.codegen.maxFields": "400",
 }
 
 
