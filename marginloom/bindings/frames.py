@@ -396,7 +396,8 @@ def ddb(body: str, **ctes: str) -> str:
             if re.search(rf"\b(from|join|in)\s+\(?{name}\b", step):
                 need(name)
     parts = [f"{n} as ({_duck(FRAME_SQL[n])})" for n in order]
-    parts += [f"{n} as ({text})" for n, text in ctes.items()]
+    # Steps of a long chain are kept as tables, or the database copies their formulas into every filter above.
+    parts += [f"{n} as {'materialized ' if len(ctes) > 5 else ''}({text})" for n, text in ctes.items()]
     return (f"with {', '.join(parts)} " if parts else "") + body
 
 

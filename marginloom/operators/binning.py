@@ -71,11 +71,11 @@ def quantile_edges(df: DataFrame, column: str, q: int) -> DataFrame:
 def quantile_bin(df: DataFrame, column: str, q: int, out: str = "bin") -> DataFrame:
     """Quantile bin number with edges; the first bin includes its lower edge, duplicate edges are dropped."""
     x = F.col(column).cast("double")
-    e = quantile_edges(df, column, q).scalar()
+    e = F.col("_e")
     above = F.size(F.filter(e, lambda edge: x > edge))
     number = F.when(x.isNotNull(), F.greatest(above, F.lit(1)))
-    return (df.withColumn(out, number)
-            .withColumns({f"{out}_lo": F.get(e, F.col(out) - 1), f"{out}_hi": F.get(e, F.col(out))}))
+    return (df.withColumn("_e", quantile_edges(df, column, q).scalar()).withColumn(out, number)
+            .withColumns({f"{out}_lo": F.get(e, F.col(out) - 1), f"{out}_hi": F.get(e, F.col(out))}).drop("_e"))
 
 
 def bin_report(df: DataFrame, column: str, score: str, actual: str, method: str = "cut", q: int = 10) -> DataFrame:
