@@ -549,7 +549,8 @@ def competitor_ladder(lists: DataFrame, floor: DataFrame, cb: str = "list_b_cb")
     for pct in range(LADDER[0][1], 0, -LADDER_STEP):
         reduced = F.col(cb) - F.lit(pct / 100) * F.col(cb)
         cuts.append(F.when((limit >= pct) & (F.col("rival_price") - (F.col("selling_price") - reduced) > LADDER_MARGIN), reduced))
-    return rows.where(op < F.col("rival_price")).withColumn("ladder_cb", F.coalesce(*cuts, F.col(cb)))
+    # Wrapped so that no not-null test on the long list formula is inferred and pushed below the stages.
+    return rows.where(S.is_true(op < F.col("rival_price"))).withColumn("ladder_cb", F.coalesce(*cuts, F.col(cb)))
 
 
 # ---- step 9: overlays ---------------------------------------------------------------------------------------------
@@ -667,7 +668,8 @@ def exceptions_from(t, as_of: dt.date, policy: Policy, base: DataFrame | None =
 
 def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = None) -> dict[str, DataFrame]:
     """All stages. With ``stage_dir`` (shared storage) the base, exception and list stages are written and read
-    back, so a lost executor or a rerun resumes there; otherwise each output is one lazy plan."""
+    back, so a lost executor or a rerun resumes there; otherwise each output is one lazy plan. Filter computed list
+    columns only on a written stage: pushed into the lazy plan, such a filter repeats the whole formula chain."""
     def keep(df: DataFrame, name: str) -> DataFrame:
         return materialize(df, f"{stage_dir}/{name}") if stage_dir else df
 
