@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import linededup, mixing, packing, simhash
+from marginloom.llm import chat, fingerprints, linededup, mixing, packing, quality, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,6 +40,19 @@ def op3_simhash_groups(spark, sf_dir):
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_repetition_rules(spark, sf_dir):
+    m = "measures."
+    return quality.judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", f"{m}n_words", f"{m}word_chars", f"{m}n_symbols", f"{m}n_dup_lines", f"{m}n_repeat_words", "base_failed", "kept")
+
+
+@query()
+def op5_score_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 @query(r"""
 WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -65,6 +78,21 @@ def op6_drop_repeated_lines(spark, sf_dir):
         "doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+@query()
+def op7_multiset_fingerprints(spark, sf_dir):
+    rows = fingerprints.compare_with_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprints.as_text(F.col("fp")).alias("fingerprint"),
+                       fingerprints.as_text(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+@query()
+def op8_format_chats(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    return chat.read_back(chat.format_trees(chat.threads(turns))).select(F.col("branch.conv").alias("conv_id"), *chat._DIGEST)
+
+
 @query()
 def op10_pack_sequences(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), **TOKENS)
