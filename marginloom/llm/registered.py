@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import chat, fingerprints, linededup, mixing, packing, quality, simhash, toxicity
+from marginloom.llm import chat, fingerprints, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -93,6 +93,12 @@ def op8_format_chats(spark, sf_dir):
     return chat.read_back(chat.format_trees(chat.threads(turns))).select(F.col("branch.conv").alias("conv_id"), *chat._DIGEST)
 
 
+@query(urlfilter.oracle())
+def op9_judge_urls(spark, sf_dir):
+    pages = urlfilter.labelled_pages(table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels"))
+    return urlfilter.judge_urls(pages, urlfilter.RULES, good_col="good").select("page_id", "host", "path", "rule", "verdict")
+
+
 @query()
 def op10_pack_sequences(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), **TOKENS)
