@@ -103,3 +103,11 @@ def op9_judge_urls(spark, sf_dir):
 def op10_pack_sequences(spark, sf_dir):
     pieces = packing.pack_documents(table(spark, sf_dir, "documents"), **TOKENS)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline
