@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import chat, fingerprints, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
+from marginloom.llm import chat, fingerprints, licences, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -35,6 +35,12 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+@query(licences.oracle())
+def op2_scan_licences(spark, sf_dir):
+    files = licences.document_files(table(spark, sf_dir, "documents"))
+    return licences.scan_licences(files).select("doc_id", "path", "licence", "how", "score", "from_dir")
+
+
 @query()
 def op3_simhash_groups(spark, sf_dir):
     return simhash.near_duplicate_groups(table(spark, sf_dir, "documents"))
