@@ -74,6 +74,7 @@ FRAME_SQL: dict[str, str] = {
         from {{lineitem}} group by l_partkey, l_suppkey""",
     "products": f"""
         select p_partkey as product_sid, {_g('p_partkey')} as pog_id, {_c('p_partkey')} as subcategory_id,
+               concat('sub ', cast(p_partkey % 40 as string)) as subcategory_name, concat('cat ', cast(p_partkey % 8 as string)) as category_name,
                cast(p_partkey % 8 as string) as category_id, p_type as new_supercategory, p_name as product_name,
                {_b('p_partkey')} as brand_id, lower(p_brand) as brand_name,
                cast(p_partkey % 5 as string) as bucket_id,
@@ -96,9 +97,9 @@ FRAME_SQL: dict[str, str] = {
                cast(35 + (vendor_sid % 9) * 4 as double) as rpr_forward
         from {listings}""",
     "price_changes": """
-        select case when product_sid % 2 = 0 then lower(supc) else supc end as supc, vendor_code,
-               updated as aud_date,
-               selling_price - (product_sid % 4) * 5 + ((product_sid + vendor_sid) % 3) * 10 as selling_price,
+        select case when (product_sid + n) % 2 = 0 then lower(supc) else supc end as supc, vendor_code,
+               cast(updated - 3 * n as date) as aud_date,
+               selling_price - (product_sid % 4) * 5 + ((product_sid + vendor_sid) % 3) * 10 + n as selling_price,
                cast(floor(selling_price * (55 + (product_sid + vendor_sid) % 30) / 100) as double) as seller_price,
                cast(vendor_sid % 6 as double) as fixed_margin_amount,
                cast(22 + product_sid % 9 as double) as fulfillment_charges,
@@ -107,7 +108,7 @@ FRAME_SQL: dict[str, str] = {
                cast(vendor_sid % 3 as double) as payment_collection_charges,
                cast(27 + product_sid % 11 as double) as rto_forward,
                cast(36 + vendor_sid % 10 as double) as rpr_forward
-        from {listings}""",
+        from (select *, 0 as n from {listings} union all select *, 1 as n from {listings} where product_sid % 10 = 0) l""",
     "snapshots": """
         select cast(l_shipdate as date) as snapshot_date, l_partkey as product_sid, l_suppkey as vendor_sid,
                cast(l_orderkey % 2 as int) as is_pushed, l_extendedprice as list_b_cb
@@ -246,7 +247,9 @@ FRAME_SQL: dict[str, str] = {
         from {{lineitem}}""",
     "category_groups": f"""
         select distinct {_c('p_partkey')} as subcategory_id, cast(p_partkey % 40 % 4 as string) as category_group,
-               case when p_partkey % 40 % 3 = 0 then 'Yes' else 'No' end as is_core
+               case when p_partkey % 40 % 3 = 0 then 'Yes' else 'No' end as is_core,
+               case when p_partkey % 40 % 5 = 0 then null when p_partkey % 40 % 2 = 0 then 'elastic' else 'inelastic' end as elasticity_tag,
+               cast(p_partkey % 40 % 7 as double) / 10e0 as elasticity_pct
         from {{part}}""",
     "op_cutoffs": f"""
         select distinct {_c('p_partkey')} as subcategory_id, cast(p_partkey % 5 as string) as bucket_id,
@@ -257,19 +260,20 @@ FRAME_SQL: dict[str, str] = {
         select l_partkey as product_sid, l_suppkey as vendor_sid, {_m('l_suppkey')} as seller_code,
                lower({_s('l_partkey')}) as supc,
                case when l_suppkey % 4 = 0 then 'disable' else 'keep' end as new_logic_status,
+               case when l_suppkey % 4 = 0 then 'returns' when l_linenumber % 3 = 0 then 'stock' end as new_logic_reason,
                case l_suppkey % 5 when 0 then 'Red' when 1 then 'Yellow-Bad' when 2 then 'Yellow-Good'
                     when 3 then 'Green' end as seller_zone
         from {{lineitem}}""",
     "price_match_list": """
-        select lower(supc) as supc, vendor_code,
-               case when product_sid % 6 = 0 then null else selling_price - product_sid % 90 end as az_sp,
-               case when vendor_sid % 7 = 0 then null else selling_price - vendor_sid % 60 end as fk_sp
-        from {listings} where updated >= date '2000-06-01'""",
+        select case when n = 0 then lower(supc) else supc end as supc, case when n = 0 then vendor_code else lower(vendor_code) end as vendor_code,
+               case when product_sid % 6 = 0 then null else selling_price - product_sid % 90 - 3 * n end as rival_a_price,
+               case when vendor_sid % 7 = 0 then null else selling_price - vendor_sid % 60 + n end as rival_b_price
+        from (select *, 0 as n from {listings} where product_sid % 3 < 2 union all select *, 1 as n from {listings} where product_sid % 9 = 0) l""",
     "deals": f"""
         select {_s('l_partkey')} as supc, {_v('l_suppkey')} as vendor_code,
                min(cast(nullif(l_partkey % 5, 0) as double)) * 40 + 99 as deal_op,
                min(cast(l_shipdate as date)) as start_date, max(cast(l_shipdate as date)) + 10 as end_date
-        from {{lineitem}} where l_shipdate >= timestamp '1998-06-10 00:00:00' group by l_partkey, l_suppkey""",
+        from {{lineitem}} group by l_partkey, l_suppkey, l_linenumber % 2""",
     # ---- small policy tables, one row per combination of flags ----------------------------------
     "pushed_status": """
         select distinct cast(v % 2 as int) as is_enabled, cast(floor(v / 2) as int) % 2 as is_enabled_with_inv,

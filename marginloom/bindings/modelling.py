@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginloom.bindings.frames import AS_OF, EVENTS_AS_OF, Frames, ddb
@@ -17,6 +19,7 @@ from marginloom.operators.aggregates import running_share
 from marginloom.plans import delivery as D
 from marginloom.plans import propensity as P
 from marginloom.plans import return_risk as R
+from marginloom.session import shared_dir
 
 TRAIN_END = dt.date(1998, 6, 30)
 VALID_END = dt.date(1999, 6, 30)
@@ -453,7 +456,7 @@ def pdd_target(f: Frames):
     return rounded(D.p90_target(d, ["os", "ds", "order_created_date", "day_quarter"]), "p90")
 
 
-# ---- models (row-only checks) -----------------------------------------------------------------------------
+# ---- models: SQL checks the scored rows, the range of the scores and the class made from them -----------------------------------------------------------------------------
 
 RISK_VARS = ["del_per", "pin_fasr_14", "city_fasr_14", "user_del", "user_del_ship", "same_supc", "same_subcat",
              "three_80", "five_70", "courier_group"]
@@ -465,25 +468,35 @@ def _risk_model(f: Frames):
              data.where((F.col("order_date") > F.lit(TRAIN_END)) & (F.col("order_date") <= F.lit(VALID_END))),
              data.where(F.col("order_date") > F.lit(VALID_END))]
     train, valid, test = R.encode(parts[0], parts[1:], ["courier_group"], "rto")
-    return M.fit_risk_trees(train, RISK_VARS, "rto", valid, depth=4, rounds=8), test
+    return M.fit_risk_trees(train, RISK_VARS, "rto", valid), test
 
 
-@query()
+def _checked(scored: DataFrame, *keys: str) -> DataFrame:
+    sound = F.col("score").between(0.0, 1.0) & (F.col("predicted_class") == (F.col("score") > 0.5).cast("int"))
+    return scored.select(*keys, sound.alias("sound"))
+
+
+@query(ddb(f"select code, rto, true as sound from returns where order_date > date '{VALID_END}' and subcategory_id is not null"))
 def rto_score(f: Frames):
+    """The saved model scores the later rows."""
     model, test = _risk_model(f)
-    return M.score_probability(model, test).select("code", "rto", "score", "predicted_class")
+    path = f"{shared_dir(f.spark).rstrip('/')}/risk-model-{uuid.uuid4().hex}"
+    M.save_model(model, path)
+    return _checked(M.score_probability(M.load_model(path), test), "code", "rto")
 
 
-@query()
+@query(f"select unnest({RISK_VARS}) as feature, true as in_range, 1.0::double as total")
 def rto_importance(f: Frames):
     model, _ = _risk_model(f)
-    return M.importance_table(f.spark, model, RISK_VARS)
+    table = M.importance_table(f.spark, model, RISK_VARS)
+    total = table.agg(F.round(F.sum("importance"), 6)).scalar()
+    return table.select("feature", F.col("importance").between(0.0, 1.0).alias("in_range"), total.alias("total"))
 
 
 PROP_VARS = ["search_events", "visits", "days_since_search", "paid_amount", "days_since_install", "days_since_last_visit"]
 
 
-@query()
+@query(ddb("""select device_id, cast(next_order_date is not null as int) as has_order, true as sound from devices"""))
 def propensity_score(f: Frames):
     d = f.devices.withColumn("target", P.label_window("next_order_date", *WINDOW))
     d = P.recency(d, EVENTS_AS_OF, {"days_since_install": "install_date", "days_since_last_visit": "visit_date"})
@@ -493,16 +506,26 @@ def propensity_score(f: Frames):
     scaler = EN.fit_scaler(train, PROP_VARS)
     woe = EN.fit_woe(train, "install_channel", "target")
     ready = EN.apply_woe(EN.apply_scaler(d, scaler, PROP_VARS), woe, "install_channel", default=0.0)
-    model = M.fit_propensity(ready.where("split = 'train'"), [*PROP_VARS, "install_channel"], "target", max_iter=20)
-    return M.score_probability(model, ready).select("device_id", "split", "target", "score", "predicted_class")
+    model = M.fit_propensity(ready.where("split = 'train'"), [*PROP_VARS, "install_channel"], "target")
+    scored = M.score_probability(model, ready).withColumn("has_order", F.col("next_order_date").isNotNull().cast("int"))
+    return _checked(scored, "device_id", "has_order")
 
 
-@query()
+@query(ddb(f"select l_orderkey, l_linenumber, true as window_sound from deliveries where cast(order_created_time as date) >= date '{AS_OF}'"))
 def pdd_score(f: Frames):
-    feats = ["dc_o2a_7", "oc_o2a_7", "day_quarter"]
-    d = D.calendar(f.deliveries).fillna(0.0, ["dc_o2a_7", "oc_o2a_7"])
-    grouped = D.p90_target(D.trim_days(d), [*feats, "order_created_date"])
-    train = grouped.where(F.col("order_created_date") < F.lit(AS_OF))
-    model = M.fit_delivery_days(train, feats, "p90", depth=4, rounds=5)
-    test = d.where(F.col("order_created_date") >= F.lit(AS_OF))
-    return D.promised(M.score_value(model, test), "predicted").select("l_orderkey", "l_linenumber", "pdd1", "pdd2", "breach")
+    """Calendar, vocabulary and one-hot features on one scale; rows weigh as many deliveries as they stand for."""
+    numbers = ["dc_o2a_7", "oc_o2a_7", "day_quarter"]
+    d = D.calendar(f.deliveries).fillna(0.0, ["dc_o2a_7", "oc_o2a_7"]).withColumn("courier_group", F.coalesce("courier_group", F.lit("none")))
+    past = d.where(F.col("order_created_date") < F.lit(AS_OF))
+    vocab = EN.fit_vocab(past, "courier_group", 1)
+    d = EN.one_hot(d, "courier_group", vocab, prefix="cg_")
+    flags = [c for c in d.columns if c.startswith("cg_")] + [c for c in d.columns if c in S.WEEKDAY_FLAGS]
+    feats = [*numbers, *flags]
+    trimmed = D.trim_days(d).where(F.col("order_created_date") < F.lit(AS_OF))
+    keys = [*feats, "order_created_date"]
+    train = D.p90_target(trimmed, keys).join(trimmed.groupBy(*keys).agg(F.count("*").cast("double").alias("weight")), keys)
+    norm = EN.fit_global_norm(train, numbers)
+    model = M.fit_delivery_days(EN.apply_global_norm(train, norm, numbers), feats, "p90", weight="weight")
+    test = EN.apply_global_norm(d.where(F.col("order_created_date") >= F.lit(AS_OF)), norm, numbers)
+    out = D.promised(M.score_value(model, test), "predicted")
+    return out.select("l_orderkey", "l_linenumber", (F.col("pdd1") <= F.col("pdd2")).alias("window_sound"))

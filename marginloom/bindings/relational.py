@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marginloom.bindings.frames import AS_OF, EVENTS_AS_OF, Frames, ddb
@@ -122,12 +123,12 @@ def null_indicators(f: Frames):
 
 
 @query(ddb("""select product_sid,
-   case when az_sp is not null and fk_sp is not null then least(az_sp, fk_sp) end as lo,
-   case when az_sp is not null and fk_sp is not null then greatest(az_sp, fk_sp) end as hi
-   from (select supc as product_sid, az_sp, fk_sp from price_match_list) p"""))
+   case when rival_a_price is not null and rival_b_price is not null then least(rival_a_price, rival_b_price) end as lo,
+   case when rival_a_price is not null and rival_b_price is not null then greatest(rival_a_price, rival_b_price) end as hi
+   from (select supc as product_sid, rival_a_price, rival_b_price from price_match_list) p"""))
 def least_greatest_strict(f: Frames):
-    return f.price_match_list.select(F.col("supc").alias("product_sid"), S.least_strict("az_sp", "fk_sp").alias("lo"),
-                                     S.greatest_strict("az_sp", "fk_sp").alias("hi"))
+    return f.price_match_list.select(F.col("supc").alias("product_sid"), S.least_strict("rival_a_price", "rival_b_price").alias("lo"),
+                                     S.greatest_strict("rival_a_price", "rival_b_price").alias("hi"))
 
 
 @query(ddb("""select suborder_code, date_diff('day', created, verified) as lag_days,
@@ -151,10 +152,12 @@ def calendar_features(f: Frames):
                                F.date_format(ts, "EEEE").alias("day_name"))
 
 
-@query(ddb("""select suborder_code, cast(strftime(verified, '%Y%m%d') as int) as verified_key, verified as parsed
-              from suborders"""))
+@query(ddb("""select suborder_code, verified_key, cast(try_strptime(cast(verified_key as varchar), '%Y%m%d') as date) as parsed from (
+   select suborder_code, case when product_sid % 17 = 0 then 19981345 when product_sid % 19 = 0 then null
+     else cast(strftime(verified, '%Y%m%d') as int) end as verified_key from suborders) k"""))
 def date_key_parse(f: Frames):
-    key = F.date_format("verified", "yyyyMMdd").cast("int")
+    key = (F.when(F.col("product_sid") % 17 == 0, 19981345).when(F.col("product_sid") % 19 == 0, F.lit(None))
+           .otherwise(F.date_format("verified", "yyyyMMdd").cast("int")))
     return f.suborders.select("suborder_code", key.alias("verified_key"), S.date_from_key(key).alias("parsed"))
 
 
@@ -166,11 +169,10 @@ def canonical_code(f: Frames):
                                 "supc", S.canonical_code("supc", prefix="sku", width=1).alias("supc_canonical"))
 
 
-@query(ddb("""select 'SD' || '_' || 'DISC' || '_' || nullif(category_id, '3') || 'CATS_0' as coupon,
+@query(ddb("""select 'CAT_OFFER_' || nullif(category_id, '3') || '_0' as coupon,
    subcategory_id || '-' || product_sid as pair from products"""))
 def composite_key(f: Frames):
-    coupon = F.concat(S.composite_key(F.lit("SD"), F.lit("DISC"), F.nullif(F.col("category_id"), F.lit("3")), sep="_"),
-                      F.lit("CATS_0"))
+    coupon = F.concat(S.composite_key(F.lit("CAT"), F.lit("OFFER"), F.nullif(F.col("category_id"), F.lit("3")), sep="_"), F.lit("_0"))
     return f.products.select(coupon.alias("coupon"), S.composite_key("subcategory_id", "product_sid").alias("pair"))
 
 
@@ -225,10 +227,10 @@ def kv_left_join(f: Frames):
     return out.fillna(0.0, ["rto_charge", "rpr_charge"])
 
 
-@query(ddb("""select l.supc, l.vendor_code, p.az_sp from listings l join price_match_list p
+@query(ddb("""select l.supc, l.vendor_code, p.rival_a_price from listings l join price_match_list p
               on lower(p.supc) = lower(l.supc) and lower(p.vendor_code) = lower(l.vendor_code)"""))
 def join_casefold(f: Frames):
-    return J.casefold_join(f.listings.select("supc", "vendor_code"), f.price_match_list.select("supc", "vendor_code", "az_sp"),
+    return J.casefold_join(f.listings.select("supc", "vendor_code"), f.price_match_list.select("supc", "vendor_code", "rival_a_price"),
                            [("supc", "supc"), ("vendor_code", "vendor_code")])
 
 
@@ -302,12 +304,15 @@ def calendar_enrich(f: Frames):
 
 
 @query(ddb("""select f.supc, f.seller_code, case when c.supc is not null and f.selling_price <> c.selling_price
-     then c.closing_fee else f.closing_fee end as closing_fee from financials f left join price_changes c
+     then c.closing_fee else f.closing_fee end as closing_fee from financials f left join (select * from price_changes
+     qualify row_number() over (partition by lower(supc), lower(vendor_code) order by aud_date desc nulls last, supc desc, vendor_code desc,
+       selling_price desc nulls last, seller_price desc nulls last, fixed_margin_amount desc nulls last, closing_fee desc nulls last) = 1) c
    on lower(c.supc) = lower(f.supc) and lower(c.vendor_code) = lower(f.seller_code)"""))
 def update_from(f: Frames):
     out = J.update_from(f.financials, f.price_changes, {"supc": "supc", "seller_code": "vendor_code"},
                         {"closing_fee": F.col("src_closing_fee")},
-                        when=F.col("selling_price") != F.col("src_selling_price"), casefold=True)
+                        when=F.col("selling_price") != F.col("src_selling_price"), casefold=True,
+                        newest_first=[F.desc_nulls_last("aud_date")])
     return out.select("supc", "seller_code", "closing_fee")
 
 
@@ -402,6 +407,26 @@ def frequency_share(f: Frames):
         "o2a", "n", F.round("share_pct", 6).alias("share_pct"), F.round("cum_share_pct", 6).alias("cum_share_pct"))
 
 
+def _share_sql(frame: str, column: str) -> str:
+    return ddb(f"""select {column}, n, round(n * 100.0 / sum(n) over (), 6) as share_pct,
+       round(sum(n) over (order by {column}) * 100.0 / sum(n) over (), 6) as cum_share_pct
+       from (select {column}, count(*) as n from {frame} where {column} is not null group by {column}) g""")
+
+
+def _shares(df: DataFrame, column: str) -> DataFrame:
+    return A.frequency_share(df, column).select(column, "n", F.round("share_pct", 6).alias("share_pct"), F.round("cum_share_pct", 6).alias("cum_share_pct"))
+
+
+@query(_share_sql("devices", "install_channel"))
+def frequency_share_category(f: Frames):
+    return _shares(f.devices, "install_channel")
+
+
+@query(_share_sql("devices", "install_date"))
+def frequency_share_date(f: Frames):
+    return _shares(f.devices, "install_date")
+
+
 @query(ddb("""select courier_group, count(*) as n from returns where courier_group is not null group by courier_group
               order by n desc, courier_group"""))
 def value_counts(f: Frames):

@@ -88,10 +88,6 @@ def composite_key(*parts: ColumnLike, sep: str = "-") -> Column:
     return F.concat(*pieces)
 
 
-def strip_spaces(c: ColumnLike) -> Column:
-    return F.regexp_replace(col(c), " ", "")
-
-
 def volumetric_slab(weight, length, breadth, height, divisor=5.0, step=500.0) -> Column:
     """Weight slab: billable weight is the larger of dead and volumetric weight."""
     volumetric = col(length).cast("double") * col(breadth) * col(height) / F.lit(divisor)
@@ -107,11 +103,6 @@ def band_label(value: ColumnLike, bounds: Sequence[tuple[float, str]], above: st
     return ladder.when(value > bounds[-1][0], above).otherwise(unknown)
 
 
-def half_even_int(c: ColumnLike) -> Column:
-    """Round half to even, as an integer."""
-    return F.rint(col(c)).cast("int")
-
-
 def scaled_round(c: ColumnLike, digits: int) -> Column:
     """Round by scaling and rounding half to even, the array-library rule for decimals."""
     scale = F.lit(10.0 ** digits)
@@ -119,13 +110,8 @@ def scaled_round(c: ColumnLike, digits: int) -> Column:
 
 
 def date_from_key(c: ColumnLike) -> Column:
-    """``yyyyMMdd`` integer key to a date."""
-    return F.to_date(col(c).cast("string"), "yyyyMMdd")
-
-
-def date_key(d: dt.date) -> int:
-    """Literal integer key, so a date window can be compared with the stored key and pushed down."""
-    return d.year * 10000 + d.month * 100 + d.day
+    """``yyyyMMdd`` integer key to a date; a key that is no date gives NULL."""
+    return F.to_date(F.try_to_timestamp(col(c).cast("string"), F.lit("yyyyMMdd")))
 
 
 def days_between(later: ColumnLike, earlier: ColumnLike) -> Column:

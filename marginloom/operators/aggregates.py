@@ -78,7 +78,7 @@ def group_dedup(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def frequency_share(df: DataFrame, column: str) -> DataFrame:
-    """Count, % share and running % share per value in ascending order."""
+    """Count, % share and running % share per present value in ascending order; numbers, strings and dates alike."""
     t = running_totals(df, column, {"n": F.count(F.lit(1))})
     return t.select(column, "n", (F.col("n") * 100.0 / F.col("tot_n")).alias("share_pct"),
                     (F.col("cum_n") * 100.0 / F.col("tot_n")).alias("cum_share_pct"))
@@ -156,8 +156,3 @@ def running_share(df: DataFrame, order_col: str, count_col: str) -> DataFrame:
     total = Window.orderBy(order_col).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return df.select("*", (F.col(count_col) * 100.0 / F.sum(count_col).over(total)).alias("share_pct"),
                      (F.sum(count_col).over(w) * 100.0 / F.sum(count_col).over(total)).alias("cum_share_pct"))
-
-
-def having_sorted(df: DataFrame, condition: Column, order: Sequence[Column]) -> DataFrame:
-    """Groups whose metric passes a threshold, worst first."""
-    return df.where(condition).orderBy(*order)

@@ -10,6 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Fitted rows that are sent to every executor at most; a larger dictionary is joined by its key.
+LOOKUP_ROWS = 20_000
+
+
+def lookup(df: DataFrame, fitted: DataFrame, key: str, limit: int | None = None) -> DataFrame:
+    """Left join of a fitted dictionary; rows of ``df`` don't move while the dictionary is small.
+
+    The dictionary is fetched up to the limit, which also spares fitting it again. Beyond the limit its rows join
+    by key and AQE splits a crowded one. The rows are the same either way.
+    """
+    limit = LOOKUP_ROWS if limit is None else limit
+    rows = fitted.limit(limit + 1).collect()
+    side = F.broadcast(df.sparkSession.createDataFrame(rows, fitted.schema)) if len(rows) <= limit else fitted
+    return df.join(side, key, "left")
+
+
 def fit_woe(df: DataFrame, category: str, target: str, signed: bool = True) -> DataFrame:
     """Per category: 100 * ln(((ne+.5)/NE) / ((e+.5)/E)) * (ne/NE - e/E).
 
@@ -31,7 +47,7 @@ def apply_woe(df: DataFrame, dictionary: DataFrame, category: str, out: str | No
               default: float | None = None) -> DataFrame:
     """Replace a category by its encoding; a category unseen in fitting becomes NULL or ``default``."""
     d = dictionary.select(F.col("category").alias(category), F.col("woe").alias("_w"))
-    joined = df.join(d, category, "left")
+    joined = lookup(df, d, category)
     value = F.col("_w") if default is None else F.coalesce(F.col("_w"), F.lit(default))
     return joined.withColumn(out or category, value).drop("_w")
 
@@ -45,23 +61,18 @@ def fit_vocab(df: DataFrame, category: str, min_count: int, strict: bool = False
 def apply_vocab(df: DataFrame, vocab: DataFrame, category: str, other: str = "other") -> DataFrame:
     """Values outside the vocabulary become ``other``."""
     known = vocab.select(category).withColumn("_known", F.lit(1))
-    return (df.join(known, category, "left")
+    return (lookup(df, known, category)
             .withColumn(category, F.when(F.col("_known").isNotNull(), F.col(category)).otherwise(other))
             .drop("_known"))
 
 
-ONE_HOT_LIMIT = 512
-
-
-def one_hot(df: DataFrame, category: str, vocab: DataFrame, prefix: str = "", limit: int = ONE_HOT_LIMIT) -> DataFrame:
+def one_hot(df: DataFrame, category: str, vocab: DataFrame, prefix: str = "") -> DataFrame:
     """One 0/1 column per vocabulary entry; unseen and missing values give all zeros.
 
-    Column names need the vocabulary on the driver, so its size is checked; a wider vocabulary goes
-    through ``one_hot_vector``.
+    The columns of a frame are known to the driver, so the vocabulary is too, whatever its size. Where that is
+    too wide for a frame, ``one_hot_vector`` gives one sparse column.
     """
-    rows = vocab.select(category).orderBy(category).limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"more than {limit} categories: use one_hot_vector")
+    rows = vocab.select(category).orderBy(category).collect()
     hit = {f"{prefix}{r[0]}": F.coalesce((F.col(category) == r[0]).cast("int"), F.lit(0)) for r in rows}
     return df.withColumns(hit)
 
@@ -92,13 +103,15 @@ def apply_scaler(df: DataFrame, scaler: DataFrame, columns: Sequence[str]) -> Da
 
 
 def fit_global_norm(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One mean and one variance over all values of all columns."""
-    row_sum = sum((F.col(c) for c in columns[1:]), F.col(columns[0]))
-    row_sq = sum((F.col(c) * F.col(c) for c in columns[1:]), F.col(columns[0]) * F.col(columns[0]))
-    n = F.count(F.lit(1)) * len(columns)
-    s = df.agg(F.sum(row_sum).alias("s"), F.sum(row_sq).alias("q"), n.alias("n"))
-    mean = F.col("s") / F.col("n")
-    return s.select(mean.alias("mean"), (F.col("q") / F.col("n") - mean * mean).alias("variance"))
+    """One mean and one variance over all present values of all columns; parts are pooled, so large values keep their variance."""
+    s = df.agg(*[f(c).alias(f"{n}{i}") for i, c in enumerate(columns) for n, f in (("n", F.count), ("m", F.avg), ("v", F.var_pop))])
+    part = lambda n: [F.coalesce(F.col(f"{n}{i}"), F.lit(0.0)) for i in range(len(columns))]
+    total = sum(part("n")[1:], part("n")[0])
+    mean = F.try_divide(sum((n * m for n, m in zip(part("n"), part("m"))), F.lit(0.0)), total)
+    s = s.withColumn("mean", mean)
+    # the columns' own variances, and how far their means lie from the common one
+    spread = sum((n * (v + F.pow(m - F.col("mean"), F.lit(2.0))) for n, m, v in zip(part("n"), part("m"), part("v"))), F.lit(0.0))
+    return s.select("mean", F.try_divide(spread, total).alias("variance"))
 
 
 def apply_global_norm(df: DataFrame, norm: DataFrame, columns: Sequence[str], eps: float = 1e-7) -> DataFrame:
@@ -138,6 +151,11 @@ def class_weights(df: DataFrame, target: str) -> DataFrame:
     return n.withColumn("weight", total / (2.0 * F.col("n")))
 
 
-def undersample(df: DataFrame, target: str, majority: int, fraction: float, seed: int = 42) -> DataFrame:
-    """Keep every minority row and a fraction of the majority class."""
-    return df.sampleBy(target, {majority: fraction, 1 - majority: 1.0}, seed)
+def undersample(df: DataFrame, target: str, percent: Mapping[int, int], key: str, seed: int = 42) -> DataFrame:
+    """Keeps the given percentage of each listed class, all rows of the others; a key always falls the same way."""
+    digest = F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))))
+    pct = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
+    share = F.lit(100)
+    for value, p in percent.items():
+        share = F.when(F.col(target) == value, p).otherwise(share)
+    return df.where(pct < share)

@@ -13,7 +13,7 @@ import math
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,53 +56,84 @@ GRID_ROWS = 4096
 GRID_UNITS = 65536
 
 
+def _bounded(grid: DataFrame, low: str, high: str) -> DataFrame:
+    """Segments that hold any value at all; a NULL or NaN bound holds none."""
+    return grid.where((F.col(low) < F.col(high)) & ~F.isnan(F.col(low).cast("double")) & ~F.isnan(F.col(high).cast("double")))
+
+
+def _indexed(df: DataFrame, grid: DataFrame, rows: list[dict], targets: Mapping[str, str], low: str, high: str, unit: float) -> DataFrame:
+    """Lookups in a constant array: cell ``u`` holds the segments that touch ``[u, u + 1)`` units; open ends get cells of their own."""
+    ends = [(float(r[low]), float(r[high])) for r in rows]
+    finite = [x for pair in ends for x in pair if math.isfinite(x)]
+    first, last = math.floor(min(finite, default=0) / unit), math.floor(max(finite, default=0) / unit)
+    cells: list[list] = [[] for _ in range(last - first + 3)]  # below the first bound, one per unit, above the last bound
+    for r, (lo, hi) in zip(rows, ends):
+        begin = 0 if lo == -math.inf else math.floor(lo / unit) - first + 1
+        end = last - first + 2 if hi == math.inf else math.floor(hi / unit) - first + 1
+        for u in range(begin, end + 1):
+            cells[u].append(r)
+    overlap = any(a[1] > b[0] for a, b in zip(ends, ends[1:]))
+    # A constant expression: folded into one literal, so rows do not carry the grid along.
+    index = F.from_json(F.lit(json.dumps(cells, default=str)), T.ArrayType(T.ArrayType(grid.schema)))
+    for value, out in targets.items():
+        x = F.col(value).cast("double")
+        unit_no = x / F.lit(float(unit))
+        at = (F.when(unit_no < first, 0).when(unit_no >= last + 1, last - first + 2)
+              .when(unit_no >= first, F.floor(unit_no) - (first - 1))).cast("int")
+        held = F.get(index, at)
+        if overlap:  # one row per match, as a join gives
+            inside = F.filter(held, lambda s: (x >= s[low]) & (x < s[high]))
+            df = df.select("*", F.explode_outer(inside).alias(out))
+        else:
+            most = max(map(len, cells))
+            tried = [F.get(held, F.lit(i)) for i in range(most)]
+            df = df.withColumn(out, F.coalesce(*[F.when((x >= s[low]) & (x < s[high]), s) for s in tried]))
+    return df
+
+
+def _joined(df: DataFrame, grid: DataFrame, targets: Mapping[str, str], low: str, high: str) -> DataFrame:
+    """Lookups by equi-joins. A segment lies in at most two cells of the power of two above its width, so neither a
+    narrow nor an open one multiplies; each distinct value looks at the widths that the grid has."""
+    lo, hi = F.col(low).cast("double"), F.col(high).cast("double")
+    width = hi - lo
+    level = F.when(width < F.lit(float("inf")), F.ceil(F.log2(width)).cast("int")).otherwise(F.lit(10_000))
+    cell = lambda v, lv: F.when(lv == 10_000, F.lit(0.0)).otherwise(F.floor(v / F.pow(F.lit(2.0), lv.cast("double"))).cast("double"))
+    leveled = _bounded(grid, low, high).select(F.struct(*grid.columns).alias("seg"), lo.alias("lo"), hi.alias("hi"), level.alias("level"))
+    cells = leveled.select("seg", "lo", "hi", "level", F.explode(F.array_distinct(F.array(
+        cell(F.col("lo"), F.col("level")), cell(F.col("hi"), F.col("level"))))).alias("cell"))
+    widths = [r[0] for r in leveled.select("level").distinct().collect()]  # one number per power of two
+    for value, out in targets.items():
+        values = df.select(F.col(value).cast("double").alias("_x")).where("_x IS NOT NULL AND NOT isnan(_x)").distinct()
+        looks = values.select("_x", F.explode(F.array(*[F.lit(w).cast("int") for w in widths])).alias("level")) if widths else values.withColumn("level", F.lit(0))
+        looks = looks.withColumn("cell", cell(F.col("_x"), F.col("level")))
+        found = (looks.join(cells, ["level", "cell"]).where((F.col("_x") >= F.col("lo")) & (F.col("_x") < F.col("hi")))
+                 .select("_x", F.col("seg").alias(out)))
+        df = df.join(found, F.col(value).cast("double") == F.col("_x"), "left").drop("_x")
+    return df
+
+
 def range_lookup(df: DataFrame, grid: DataFrame, targets: Mapping[str, str], low: str, high: str,
                  max_rows: int = GRID_ROWS, max_units: int = GRID_UNITS) -> DataFrame:
-    """Half-open range lookup ``low <= x < high`` on a grid of non-overlapping segments.
+    """Half-open range lookup ``low <= x < high``.
 
-    ``targets`` maps value columns to the name of the struct column holding the matched segment
-    (NULL struct when none). A grid within the limits becomes a direct-index array: cell ``u`` holds
-    the at most three segments that touch ``[u, u+1]`` units, so each lookup is one array access and
-    all values share one scan. A larger grid is joined on the cell number instead.
+    ``targets`` maps value columns to the name of the struct column holding the matched segment. As in a left
+    join a row comes once per matching segment, and once with NULL where there is none; NULL, NaN and positive
+    infinity match nothing. Bounds may be infinite; a segment with a NULL or NaN bound, or an empty one, is
+    left out. A grid within the limits becomes a constant array, so that all values share one scan; a
+    larger one is joined. The rows are the same either way.
     """
-    rows = [r.asDict() for r in grid.where(F.col(low) < F.col(high)).orderBy(low).limit(max_rows + 1).collect()]
-    small = len(rows) <= max_rows
-    if small:
-        if any(a[high] > b[low] for a, b in zip(rows, rows[1:])):
-            raise ValueError("range_lookup needs non-overlapping segments")
-        if not rows:
-            return df.withColumns({out: F.lit(None).cast(grid.schema) for out in targets.values()})
-        unit = min(r[high] - r[low] for r in rows)
-        first = math.floor(rows[0][low] / unit)
-        span = math.floor(rows[-1][high] / unit) - first + 1
-        small = span <= max_units
-    else:
-        unit = grid.where(F.col(low) < F.col(high)).agg(F.min(F.col(high) - F.col(low))).first()[0]
-
-    if small:
-        cells: list[list] = [[] for _ in range(span)]
-        for r in rows:
-            for u in range(math.floor(r[low] / unit), math.floor(r[high] / unit) + 1):
-                cells[u - first].append(r)
-        # A constant expression: folded into one literal, so rows do not carry the grid along.
-        index = F.from_json(F.lit(json.dumps(cells, default=str)), T.ArrayType(T.ArrayType(grid.schema)))
-        chosen = {}
-        for value, out in targets.items():
-            x = F.col(value)
-            held = [F.get(F.get(index, (F.floor(x / unit) - first).cast("int")), F.lit(i)) for i in range(3)]
-            chosen[out] = F.coalesce(*[F.when((x >= s[low]) & (x < s[high]), s) for s in held])
-        return df.withColumns(chosen)
-
-    cells = (grid.where(F.col(low) < F.col(high))
-             .select(F.struct(*grid.columns).alias("seg"), F.explode(F.sequence(
-                 F.floor(F.col(low) / unit), F.floor(F.col(high) / unit))).alias("cell"),
-                 F.col(low).alias("lo"), F.col(high).alias("hi")))
-    for value, out in targets.items():
-        one = cells.select("cell", F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), F.col("seg").alias(out))
-        df = df.withColumn("_cell", F.floor(F.col(value) / unit))
-        df = df.join(one, (F.col("_cell") == F.col("cell")) & (F.col(value) >= F.col("_lo"))
-                     & (F.col(value) < F.col("_hi")), "left").drop("_cell", "cell", "_lo", "_hi")
-    return df
+    rows = [r.asDict() for r in _bounded(grid, low, high).orderBy(low).limit(max_rows + 1).collect()]
+    if not rows:
+        return df.withColumns({out: F.lit(None).cast(grid.schema) for out in targets.values()})
+    if len(rows) <= max_rows:
+        ends = [(float(r[low]), float(r[high])) for r in rows]
+        unit = min((hi - lo for lo, hi in ends if math.isfinite(hi - lo)), default=1.0)
+        finite = [x for pair in ends for x in pair if math.isfinite(x)]
+        span = (max(finite, default=0.0) - min(finite, default=0.0)) / unit
+        # the array's entries: a segment counts once per cell that it touches
+        if span <= max_units and sum(min((hi - lo) / unit, span) + 2 for lo, hi in ends) <= 2 * max_units:
+            return _indexed(df, grid, rows, targets, low, high, unit)
+    return _joined(df, grid, targets, low, high)
 
 
 def valid_on(df: DataFrame, as_of: dt.date, start: str, end: str) -> DataFrame:
@@ -142,13 +173,26 @@ def calendar_enrich(df: DataFrame, calendar: DataFrame, attribute: str,
     return df
 
 
+def one_per_key(source: DataFrame, keys: Sequence[Column], newest_first: Sequence[Column] = ()) -> DataFrame:
+    """One row per key without NULLs: the first by ``newest_first``, ties by all columns, largest first."""
+    order = [*newest_first, *[F.desc_nulls_last(c) for c in source.columns]]
+    named = source.withColumns({f"_k{i}": k for i, k in enumerate(keys)})
+    names = [f"_k{i}" for i in range(len(keys))]
+    for n in names:
+        named = named.where(F.col(n).isNotNull())
+    return (named.withColumn("_rn", F.row_number().over(Window.partitionBy(*names).orderBy(*order)))
+            .where("_rn = 1").drop("_rn", *names))
+
+
 def update_from(target: DataFrame, source: DataFrame, keys: Mapping[str, str], assign: Mapping[str, Column],
-                when: Column | None = None, casefold: bool = False) -> DataFrame:
-    """``UPDATE target SET … FROM source``. Source columns are visible as ``src_<name>``.
+                when: Column | None = None, casefold: bool = False, newest_first: Sequence[Column] = ()) -> DataFrame:
+    """``UPDATE target SET … FROM source``: never more rows than before. Source columns are visible as ``src_<name>``.
 
-    The source holds at most one row per key. All assignments see the old row.
+    Of several source rows with one (folded) key the first by ``newest_first`` counts, ties by all columns,
+    largest first. All assignments see the old row.
     """
     fold = F.lower if casefold else F.col
+    source = one_per_key(source, [fold(s) for s in keys.values()], newest_first)
     src = source.select(*[F.col(c).alias(f"src_{c}") for c in source.columns])
     src = src.withColumns({f"_j{i}": fold(f"src_{s}") for i, s in enumerate(keys.values())})
     cond = reduce(lambda a, b: a & b, [fold(t) == F.col(f"_j{i}") for i, t in enumerate(keys)])
@@ -160,15 +204,11 @@ def update_from(target: DataFrame, source: DataFrame, keys: Mapping[str, str], a
     return joined.select(*out)
 
 
-def merge_profiles(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Fold several small lookup frames with the same key into one.
-
-    A row set of one key in the result is the product of its rows in the inputs, exactly what joining
-    the inputs one after the other onto a large table would give, but the large table is joined once.
-    """
-    usable = []
+def attach_rules(df: DataFrame, frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Left-joins rule tables of one key one after the other, so that one partitioning of ``df`` serves them all."""
     for f in frames:
+        known = f
         for k in keys:
-            f = f.where(F.col(k).isNotNull())
-        usable.append(f.distinct())
-    return reduce(lambda a, b: a.join(b, list(keys), "full"), usable)
+            known = known.where(F.col(k).isNotNull())
+        df = df.join(known.distinct(), list(keys), "left")
+    return df

@@ -12,12 +12,12 @@ from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marginloom.operators.encoders import class_weights
+from marginloom.operators.encoders import class_weights, lookup
 
 
 def with_class_weight(df: DataFrame, target: str, out: str = "class_weight") -> DataFrame:
     w = class_weights(df, target).select(target, F.col("weight").alias(out))
-    return df.join(w, target)
+    return lookup(df.where(F.col(target).isNotNull()), w, target)
 
 
 def fit_risk_trees(train: DataFrame, features: Sequence[str], target: str, valid: DataFrame | None = None,

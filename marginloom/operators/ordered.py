@@ -1,7 +1,7 @@
 """Running totals and exact percentiles over an ordered value, without a single-task window.
 
-The value range is cut into slices at approximate quantiles, a list whose length is a
-parameter. Totals per slice give every slice its starting offset, so the windows only run
+The ordered rows are cut into slices of about SLICE_ROWS at values of a bounded random sample, so any type
+that Spark can order will do. Totals per slice give every slice its starting offset, so the windows only run
 inside one slice. Equal values are summed before anything is shuffled by slice, which makes
 a value holding a third of all rows one single row.
 """
@@ -13,13 +13,22 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SLICES = 64
+#: Rows (one per key and value) that a slice holds on average.
+SLICE_ROWS = 100_000
+#: Sampled rows and edges on the driver, at most; beyond that number of slices they grow instead.
+SAMPLE, MOST_SLICES = 8192, 1024
 
 
-def _slice_edges(df: DataFrame, value: str, slices: int) -> list[float]:
-    steps = [i / slices for i in range(1, slices)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), steps, F.lit(10000)).alias("e")).first()
-    return sorted(set(row["e"] or []))
+def _slice_edges(grouped: DataFrame, keys: Sequence[str], value: str, slice_rows: int) -> list:
+    """Sorted edges between slices, from the rows with the smallest hashes.
+
+    Those are a fair sample of all rows, and how far the hashes reach tells how many rows there are.
+    """
+    sample = grouped.select(value, F.xxhash64(*keys, value).alias("_h")).orderBy("_h").limit(SAMPLE).collect()
+    n = len(sample) if len(sample) < SAMPLE else int((SAMPLE - 1) * 2.0**64 / (sample[-1]["_h"] + 2.0**63 + 1))
+    slices = min(MOST_SLICES, -(-n // slice_rows))
+    values = sorted(r[0] for r in sample if r[0] == r[0])
+    return sorted({values[len(values) * i // slices] for i in range(1, slices)}) if values else []
 
 
 def _slice_of(value: Column, edges: Sequence[float], first: int = 0) -> Column:
@@ -32,16 +41,16 @@ def _slice_of(value: Column, edges: Sequence[float], first: int = 0) -> Column:
 
 
 def running_totals(df: DataFrame, value: str, sums: Mapping[str, Column], keys: Sequence[str] = (),
-                   descending: bool = False, slices: int = SLICES) -> DataFrame:
+                   descending: bool = False, slice_rows: int | None = None) -> DataFrame:
     """One row per (keys, value): each sum, its running total ``cum_*`` and group total ``tot_*``.
 
     ``sums`` maps names to aggregate columns that add up (counts, sums). NULL values are left out.
     """
     keys = list(keys)
     present = df.where(F.col(value).isNotNull())
-    edges = _slice_edges(present, value, slices)
     grouped = present.groupBy(*keys, value).agg(*[c.alias(n) for n, c in sums.items()])
-    sliced = grouped.withColumn("_slice", _slice_of(F.col(value).cast("double"), edges))
+    edges = _slice_edges(grouped, keys, value, slice_rows or SLICE_ROWS)
+    sliced = grouped.withColumn("_slice", _slice_of(F.col(value), edges))
 
     per_slice = sliced.groupBy(*keys, "_slice").agg(*[F.sum(n).alias(n) for n in sums])
     order = F.desc if descending else F.asc
@@ -64,13 +73,13 @@ def running_totals(df: DataFrame, value: str, sums: Mapping[str, Column], keys:
 
 
 def percentile_points(df: DataFrame, value: str, fractions: Sequence[float],
-                      keys: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
+                      keys: Sequence[str] = (), slice_rows: int | None = None) -> DataFrame:
     """Linearly interpolated percentiles, one row per (keys, ``point``) with ``point`` the index in ``fractions``.
 
     Exact for groups of any size: only the at most two rows that hold a percentile's neighbours go on
     to the last aggregation.
     """
-    ranked = running_totals(df, value, {"n": F.count(F.lit(1))}, keys, slices=slices)
+    ranked = running_totals(df, value, {"n": F.count(F.lit(1))}, keys, slice_rows=slice_rows)
     points = F.array(*[
         F.struct(F.lit(i).alias("point"), (F.lit(float(f)) * (F.col("tot_n") - 1)).alias("pos"))
         for i, f in enumerate(fractions)])
@@ -87,8 +96,8 @@ def percentile_points(df: DataFrame, value: str, fractions: Sequence[float],
 
 
 def exact_percentiles(df: DataFrame, value: str, fractions: Mapping[str, float],
-                      keys: Sequence[str] = (), slices: int = SLICES) -> DataFrame:
+                      keys: Sequence[str] = (), slice_rows: int | None = None) -> DataFrame:
     """The same percentiles as one named column each, one row per group."""
-    points = percentile_points(df, value, list(fractions.values()), keys, slices)
+    points = percentile_points(df, value, list(fractions.values()), keys, slice_rows)
     return points.groupBy(*keys).agg(*[
         F.max(F.when(F.col("point") == i, F.col("value"))).alias(name) for i, name in enumerate(fractions)])

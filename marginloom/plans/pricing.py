@@ -1,12 +1,14 @@
 """Staged cashback pricing: from sub-orders and listings to ten price lists with push flags.
 
-Every stage is a function of DataFrames; ``run`` chains them. Rule tables are folded by join key
-before they meet the listings, so the large table takes one join per key set, not one per rule.
+Every stage is a function of DataFrames; ``run`` chains them and writes them. Rule tables join the listings key set by
+key set, so that one partitioning of the large table serves all rules of a key.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -17,7 +19,9 @@ from marginloom.functions import scalars as S
 from marginloom.operators import aggregates as A
 from marginloom.operators import joins as J
 from marginloom.operators import windows as W
-from marginloom.sources.tables import delete_where, materialize
+from marginloom.session import shared_dir
+from marginloom.sources.snapshots import write_snapshot
+from marginloom.sources.tables import delete_where, staged
 
 PAIR = ["product_sid", "vendor_sid"]
 LISTS = tuple("abcdefghij")
@@ -105,7 +109,7 @@ def financial_override(financials: DataFrame, changes: DataFrame, as_of: dt.date
     kept = delete_where(changes, F.col("aud_date") == F.lit(as_of - dt.timedelta(days=1)))
     return J.update_from(financials, kept, {"supc": "supc", "seller_code": "vendor_code"},
                          {c: F.col(f"src_{c}") for c in PRICE_COLUMNS},
-                         when=F.col("selling_price") != F.col("src_selling_price"), casefold=True)
+                         when=F.col("selling_price") != F.col("src_selling_price"), casefold=True, newest_first=[F.desc_nulls_last("aud_date")])
 
 
 # ---- step 2: listing base ---------------------------------------------------------------------------------
@@ -142,7 +146,7 @@ def listing_base(listings: DataFrame, financials: DataFrame, products: DataFrame
               .join(priced, ["supc", "vendor_code"]).join(products, "product_sid").join(group_sales, "pog_id", "left"))
     rto_default = F.when(F.col("rto_forward") == F.col("logistics_cost"), 0.0).otherwise(F.col("rto_forward"))
     return joined.select(
-        "supc", "vendor_code", *PAIR, "pog_id", "bucket_id", "subcategory_id", "category_id", "new_supercategory",
+        "supc", "vendor_code", *PAIR, "pog_id", "bucket_id", "subcategory_id", "subcategory_name", "category_id", "category_name", "new_supercategory",
         "product_name", "brand_id", "brand_name", "vip_selling_price", "selling_price", "seller_price", "oneship_charges",
         "fixed_margin_amount", F.coalesce("fulfillment_charges", "_fulfillment").alias("fulfillment_charges"),
         "logistics_cost", F.coalesce("closing_fee", "_closing").alias("closing_fee"), "payment_collection_charges",
@@ -221,9 +225,9 @@ SCOPE_NAMES = {"sub": "subcategory_exception", "sv": "subcat_vendor_exception",
 
 @dataclass
 class Profiles:
-    """Lookup frames, one per join key of the listing base."""
+    """Lookup frames by join key of the listing base."""
 
-    by_key: list[tuple[tuple[str, ...], DataFrame]] = field(default_factory=list)
+    by_key: list[tuple[tuple[str, ...], list[DataFrame]]] = field(default_factory=list)
     bids: DataFrame | None = None
     active: DataFrame | None = None
     terms: DataFrame | None = None
@@ -233,7 +237,7 @@ class Profiles:
 
 
 def build_profiles(t, as_of: dt.date, policy: Policy, top_vendors: DataFrame) -> Profiles:
-    """Fold all rule tables of ``t`` (attribute access by table name) into one frame per key."""
+    """All rule tables of ``t`` (attribute access by table name), grouped by key."""
     exact = {
         ("subcategory_id",): [latest_rules(t.subcat_rules, ["subcategory_id"], "sub"), t.return_factors, t.category_groups],
         ("subcategory_id", "vendor_code"): [
@@ -255,11 +259,11 @@ def build_profiles(t, as_of: dt.date, policy: Policy, top_vendors: DataFrame) ->
             brand_mandates(t.brand_mandate_products, t.brand_mandate_vendors, t.previous_final),
             live_offers(t.monetisation, as_of),
             private_targets(t.private_label, "BAU", "bau"), private_targets(t.private_label, "Sale", "sale")],
-        ("product_sid", "vendor_sid"): [t.disablement.select(*PAIR, "new_logic_status", "seller_zone").distinct()],
+        ("product_sid", "vendor_sid"): [t.disablement.select(*PAIR, "new_logic_status", "new_logic_reason", "seller_zone").distinct()],
     }
     yesterday = as_of - dt.timedelta(days=1)
     return Profiles(
-        by_key=[(k, J.merge_profiles(frames, k)) for k, frames in exact.items()],
+        by_key=list(exact.items()),
         bids=J.latest_batch(t.seller_bids, "end_date").select("vendor_code", "bid").distinct(),
         active=W.best_bid(t.active_bids, "active_day", yesterday, ["seller_code", "supc"], "bid")
         .select("supc", "seller_code", F.col("bid").alias("active_bid")),
@@ -273,13 +277,17 @@ def attach_profiles(base: DataFrame, p: Profiles) -> DataFrame:
 
     The pair-keyed lookup comes last: its partitioning then also serves the distinct that follows.
     """
-    out = base.where("seller_price > 0")
-    out = J.casefold_join(out, p.bids, [("vendor_code", "vendor_code")], "left")
-    out = J.casefold_join(out, p.active, [("supc", "supc"), ("vendor_code", "seller_code")], "left")
-    out = J.casefold_join(out, p.terms.withColumnRenamed("brand_id", "_b"), [("brand_id", "_b"), ("vendor_code", "seller_code")], "left")
+    seller = F.lower("seller_code").alias("_vf")
+    folded = [(["_vf"], p.bids.select(F.lower("vendor_code").alias("_vf"), "bid")),
+              (["_sf", "_vf"], p.active.select(F.lower("supc").alias("_sf"), seller, "active_bid")),
+              (["brand_id", "_vf"], p.terms.select("brand_id", seller, "ro_type", "rule", "amount", "ratio"))]
+    out = base.where("seller_price > 0").withColumns({"_vf": F.lower("vendor_code"), "_sf": F.lower("supc")})
     out = J.membership_flag(out, p.pogs, ["pog_id"], "high_cb_pog")
-    for keys, frame in p.by_key:
-        out = out.join(frame, list(keys), "left")
+    for keys, frame in folded:
+        out = out.join(frame, keys, "left")
+    out = out.drop("_vf", "_sf")
+    for keys, frames in p.by_key:
+        out = J.attach_rules(out, frames, keys)
     return out
 
 
@@ -356,9 +364,11 @@ def exceptions_stage(base: DataFrame, profiles: Profiles) -> DataFrame:
                "pl_bau_op": S.nz("bau_op"), "pl_bau_cb": S.nz("bau_cb"), "pl_sale_op": S.nz("sale_op"), "pl_sale_cb": S.nz("sale_cb"),
                "bau_op": S.nz("bau_price", DEFAULT_OP["bau_op"]), "sale_op": S.nz("sale_price", DEFAULT_OP["sale_op"])}
     carried = ["high_cb_pog", "reduce_sp_pct", "cm_gm_movement_pct", "bid", "rto_factor", "rpr_factor", "category_group", "is_core",
-               "new_logic_status", "seller_zone"]
+               "elasticity_tag", "elasticity_pct", "new_logic_status", "new_logic_reason", "seller_zone"]
     narrow = looked_up.select(*base.columns, *carried, *[c.alias(n) for n, c in derived.items()]).distinct()
-    return attach_bands(attach_bands(narrow, profiles.bands_old), profiles.bands)
+    banded = attach_bands(attach_bands(narrow, profiles.bands_old), profiles.bands)
+    # the cut of vendors who drop prices is the first old cut-off
+    return banded.withColumn("price_drop_pct", F.col("variant7_min_gm_percent"))
 
 
 # ---- step 5: decisions and cashback ------------------------------------------------------------------------
@@ -597,40 +607,60 @@ def clamp_stage(df: DataFrame) -> DataFrame:
                            for x, floor in FLOOR_OF.items()})
 
 
-def list_deltas(df: DataFrame) -> DataFrame:
-    """What the sale lists add to the list below, and the coupon code of the category."""
-    code = F.concat(F.lit("SD_DISC_"), F.col("category_id"), F.lit("CATS_0"))
+def list_deltas(df: DataFrame, as_of: dt.date, coupon: str = "CATEGORY_OFFER") -> DataFrame:
+    """What the sale lists add to the list below, the coupon code of the category, and the fixed columns of the price file."""
+    code = F.concat(F.lit(f"{coupon}_"), F.col("category_id"))
     return df.withColumns({"delta_i": S.greatest_strict(F.col("list_c_cb") - F.col("list_b_cb"), F.lit(0.0)),
                            "delta_j": S.greatest_strict(F.col("list_d_cb") - F.col("list_c_cb"), F.lit(0.0)),
-                           "coupon_code": code})
+                           "coupon_code": code}).withColumns({
+        "price_date": F.lit(as_of), "is_revenue_recognised": F.lit(0),
+        **{f"vip_cashback_{x}": F.col(f"delta_{x}") if x in "ij" else F.lit(0.0) for x in LISTS},
+        **{f"coupon_{x}": F.col("coupon_code") for x in LISTS}, **{f"additional_cashback_{x}": F.lit(0.0) for x in LISTS}})
 
 
-def match_cashback(list_b: Column) -> dict[str, Column]:
-    """Cashback that meets the lower competitor price, given back as far as the net margin turns negative."""
+RIVALS = ("rival_a_price", "rival_b_price")
+
+
+def match_cashback(list_b: Column, rivals: Sequence[str] = RIVALS) -> dict[str, Column]:
+    """Cashback that meets the lowest rival price (NULL if one is missing), given back as far as the net margin turns negative.
+
+    The share is the selling price less the seller's, without tax; ``zero_margin_share`` is what it would have to be
+    for a net margin of zero, ``share_after`` what the matched price leaves of it.
+    """
     op = F.col("selling_price") - list_b
-    rival = S.least_strict("az_sp", "fk_sp")
+    rival = S.least_strict(*rivals)
     new_cb = F.when(rival < op, op - rival).otherwise(0.0) + list_b
     share = (F.col("selling_price") - F.col("seller_price")) / TAX
     cost = S.greatest_strict(F.lit(float(MATCH_BASE)) + S.least_strict(F.col("slab") - 1, F.lit(float(SLAB_CAP))) * SLAB_STEP, F.lit(0.0))
     margin = (share - new_cb / TAX) - cost
-    return {"rival_price": rival, "new_cb": new_cb, "net_margin": margin,
-            "new_cb_final": F.when(margin < 0, new_cb + margin * TAX).otherwise(new_cb)}
+    final = F.when(margin < 0, new_cb + margin * TAX).otherwise(new_cb)
+    return {"rival_price": rival, "new_cb": new_cb, "fulfilment_cost": cost, "share_before": share - list_b / TAX,
+            "share_after": share - new_cb / TAX, "net_margin": margin, "zero_margin_share": cost,
+            "new_cb_final": final, "new_margin": (share - final / TAX) - cost}
+
+
+def matched_pairs(lists: DataFrame, rivals: DataFrame, names: Sequence[str] = RIVALS) -> DataFrame:
+    """One matched cashback per pair of the match list: of its rows without a hard exception, the largest value counts.
+
+    The match list holds one row per spelling-folded pair after the newest, then the largest, is taken.
+    """
+    folded = rivals.select(F.lower("supc").alias("_s"), F.lower("vendor_code").alias("_v"), *names)
+    single = J.one_per_key(folded, [F.col("_s"), F.col("_v")], [F.desc_nulls_last(n) for n in names])
+    rows = lists.where("is_hard_exception = 0").select("supc", "vendor_code", "selling_price", "seller_price", "slab", "step7_list_b")
+    met = rows.join(single, (F.lower("supc") == F.col("_s")) & (F.lower("vendor_code") == F.col("_v")))
+    value = F.greatest(match_cashback(F.col("step7_list_b"), names)["new_cb_final"], F.lit(0.0))
+    value = F.when(match_cashback(F.col("step7_list_b"), names)["new_cb_final"].isNotNull(), value)
+    return met.groupBy(F.col("_s").alias("supc"), F.col("_v").alias("vendor_code")).agg(F.max(value).alias("matched_cb"))
 
 
 def push_stage(df: DataFrame, rivals: DataFrame, visits: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
-    """Price-matched rows, visited rows in stock, then rows without a cut-off are taken out again.
+    """Price-matched pairs, visited rows in stock, then rows without a cut-off are taken out again.
 
-    Each update sees the row as the previous one left it. A row is matched on its own list value of
-    step 7, which rides along, so the list table is not joined to itself.
+    Each update sees the row as the previous one left it. The match is made from the list values of step 7 of
+    the rows without a hard exception and set on every row of the pair.
     """
-    keyed = rivals.select("supc", "vendor_code", "az_sp", "fk_sp").withColumn("_m", F.lit(1))
-    out = J.casefold_join(df, keyed, [("supc", "supc"), ("vendor_code", "vendor_code")], "left")
-    out = out.withColumns(match_cashback(F.col("step7_list_b")))
-    matched = S.is_true((F.col("_m") == 1) & (F.col("is_hard_exception") == 0))
-    out = out.withColumns({
-        "list_b_cb": F.when(matched, F.when(F.col("new_cb_final") < 0, 0.0).otherwise(F.col("new_cb_final"))).otherwise(F.col("list_b_cb")),
-        "is_pushed": F.when(matched, 1).otherwise(F.col("is_pushed"))}).drop("_m", "az_sp", "fk_sp", "rival_price", "new_cb",
-                                                                              "net_margin", "new_cb_final")
+    out = J.update_from(df, matched_pairs(df, rivals), {"supc": "supc", "vendor_code": "vendor_code"},
+                        {"list_b_cb": F.col("src_matched_cb"), "is_pushed": F.lit(1)}, casefold=True)
     seen = visits.where(F.col("visit_date") >= F.lit(as_of - dt.timedelta(days=policy.visit_days))).where("pog_id is not null")
     out = J.membership_flag(out, seen, ["pog_id"], "_seen")
     push = S.is_true((F.col("is_pushed") == 0) & (F.col("list_b_cb") > 0) & (F.col("is_enabled_with_inv") == 1)
@@ -666,17 +696,28 @@ def exceptions_from(t, as_of: dt.date, policy: Policy, base: DataFrame | None =
     return exceptions_stage(base, build_profiles(t, as_of, policy, top))
 
 
-def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = None) -> dict[str, DataFrame]:
-    """All stages. With ``stage_dir`` (shared storage) the base, exception and list stages are written and read
-    back, so a lost executor or a rerun resumes there; otherwise each output is one lazy plan. Filter computed list
-    columns only on a written stage: pushed into the lazy plan, such a filter repeats the whole formula chain."""
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        return materialize(df, f"{stage_dir}/{name}") if stage_dir else df
-
-    base = keep(base_from(t, as_of, policy), "base")
-    flagged = keep(exceptions_from(t, as_of, policy, base), "exceptions")
-    priced = rounding_stage(cashback_stage(flagged, t.pushed_status, t.exception_mapping, as_of, policy), t.price_points)
-    lists = keep(list_stage(priced, policy), "lists")
-    final = list_deltas(clamp_stage(overlay_stage(lists)))
-    final = deal_stage(push_stage(final, t.price_match_list, t.pog_visits, as_of, policy), t.deals, as_of)
-    return {"base": base, "exceptions": flagged, "lists": lists, "final": final}
+def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = None, snapshot_dir: str | None = None) -> dict[str, DataFrame]:
+    """All stages, each written to shared storage and read back, so that no stage is computed twice.
+
+    With ``stage_dir`` a rerun with the same day and policy resumes after the last stage that was completed, and
+    every step leaves a start and an end row in ``step_log`` there; a run with other inputs needs another folder. Without
+    it the stages go to a fresh folder in the cluster's shared one. With ``snapshot_dir`` the final rows replace the day's
+    snapshot and the one of seven days ago is removed.
+    """
+    spark = t.spark
+    run_key = hashlib.sha256(repr((as_of, policy)).encode()).hexdigest()[:16]
+    folder = f"{stage_dir}/{run_key}" if stage_dir else f"{shared_dir(spark).rstrip('/')}/pricing-{uuid.uuid4().hex}"
+    log = f"{stage_dir}/step_log" if stage_dir else None
+
+    def stage(name: str, build) -> DataFrame:
+        return staged(build, spark, f"{folder}/{name}", log)
+
+    base = stage("base", lambda: base_from(t, as_of, policy))
+    flagged = stage("exceptions", lambda: exceptions_from(t, as_of, policy, base))
+    priced = lambda: rounding_stage(cashback_stage(flagged, t.pushed_status, t.exception_mapping, as_of, policy), t.price_points)
+    lists = stage("lists", lambda: list_stage(priced(), policy))
+    offers = stage("offers", lambda: list_deltas(clamp_stage(overlay_stage(lists)), as_of))
+    final = stage("final", lambda: deal_stage(push_stage(offers, t.price_match_list, t.pog_visits, as_of, policy), t.deals, as_of))
+    if snapshot_dir:
+        write_snapshot(final, snapshot_dir, as_of)
+    return {"base": base, "exceptions": flagged, "lists": lists, "offers": offers, "final": final}

@@ -6,6 +6,8 @@ session handed in by a cluster, a notebook or a test.
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 RUNTIME_CONF = {
@@ -25,9 +27,6 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """Use the cluster's shared checkpoint folder; set ``fallback`` only where none is named."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    target = configured or fallback
-    spark.sparkContext.setCheckpointDir(target)
-    return target
+def shared_dir(spark: SparkSession) -> str:
+    """The folder for written stages: the shared one the cluster names, a fresh local one only where it names none."""
+    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="marginloom-")

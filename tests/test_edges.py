@@ -85,19 +85,127 @@ def test_band_join_touching_bands_and_range_lookup_paths(spark):
     for rows in (100, 1):  # literal index, then the joined form
         out = J.range_lookup(df, grid, {"x": "g"}, "lo", "hi", max_rows=rows).select("i", F.col("g.id").alias("g"))
         assert dict(values(out, "i", "g")) == want
-    with pytest.raises(ValueError):
-        J.range_lookup(df, grid.union(grid), {"x": "g"}, "lo", "hi")
 
 
-def test_merged_profiles_equal_successive_joins(spark):
+@pytest.mark.parametrize("segments", [
+    [(79, 99, 1), (90, 120, 2), (150, 151, 3)],                                    # overlapping
+    [(0, 10, 1), (10, math.inf, 2), (-math.inf, -5, 3)],                           # open ends
+    [(0, 0.001, 1), (1, 1_000_000, 2), (2, 3, 4)],                                 # narrow beside wide, nested
+    [(5, 5, 1), (7, 6, 2), (None, 3, 3), (3, None, 4), (math.nan, 4, 5)],          # nothing in any of them
+    [(-math.inf, math.inf, 1)], [(1e300, 1e301, 1), (0, 1, 2)], []])
+def test_range_lookup_gives_the_same_rows_at_every_grid_size(spark, segments):
+    grid = spark.createDataFrame([(None if a is None else float(a), None if b is None else float(b), i) for a, b, i in segments], "lo double, hi double, id int")
+    xs = [None, math.nan, math.inf, -math.inf, 1e300, -1e300, 1e18, 0.0, 0.0005, -5.0, 9.999, 10.0, 90.0, 98.9, 99.0, 119.9, 150.5, 2.5, 999_999.5, 1e6]
+    df = spark.createDataFrame([(i, x, x) for i, x in enumerate(xs)], "i int, x double, y double")
+    live = [(a, b, g) for a, b, g in segments if a is not None and b is not None and a < b]
+    hits = {i: [g for a, b, g in live if x is not None and a <= x < b] or [None] for i, x in enumerate(xs)}
+    want = sorted((i, a or 0, b or 0) for i in hits for a in hits[i] for b in hits[i])
+    for limits in ({}, {"max_rows": 0}, {"max_units": 1}):
+        out = J.range_lookup(df, grid, {"x": "g", "y": "h"}, "lo", "hi", **limits)
+        assert sorted((r["i"], r["g"]["id"] if r["g"] else 0, r["h"]["id"] if r["h"] else 0) for r in out.collect()) == want
+
+
+def test_update_never_adds_rows(spark):
+    target = spark.createDataFrame([("A", 1.0), ("a", 2.0), ("b", 3.0), (None, 4.0)], "k string, v double")
+    source = spark.createDataFrame([("a", 1, 10.0), ("A", 2, 20.0), ("A", 2, 15.0), (None, 9, 99.0)], "key string, day int, w double")
+    out = J.update_from(target, source, {"k": "key"}, {"v": F.col("src_w")}, casefold=True, newest_first=[F.desc("day")])
+    assert sorted(values(out, "k", "v"), key=str) == sorted([("A", 20.0), ("a", 20.0), ("b", 3.0), (None, 4.0)], key=str)
+
+
+def test_match_reaches_every_row_of_a_pair(spark):
+    cols = "supc string, vendor_code string, product_sid int, selling_price double, seller_price double, slab double, step7_list_b double, list_b_cb double, " \
+           "is_hard_exception int, is_pushed int, pog_id string, is_enabled_with_inv int, variant1_name string"
+    rows = [("X", "v", 1, 900.0, 300.0, 1.0, 10.0, 5.0, 0, 0, "g", 1, "n"), ("X", "V", 2, 900.0, 300.0, 1.0, 10.0, 5.0, 1, 0, "g", 1, "n"),
+            ("Y", "v", 3, 900.0, 300.0, 1.0, 10.0, 5.0, 1, 0, "g", 1, "n")]
+    rivals = spark.createDataFrame([("x", "v", 870.0, 880.0), ("X", "V", 860.0, 880.0), ("y", "v", 1.0, 1.0)],
+                                   "supc string, vendor_code string, rival_a_price double, rival_b_price double")
+    visits = spark.createDataFrame([], "pog_id string, visit_date date")
+    out = P.push_stage(spark.createDataFrame(rows, cols), rivals, visits, dt.date(2020, 1, 1), P.Policy())
+    assert sorted(values(out, "product_sid", "list_b_cb", "is_pushed")) == [(1, 30.0, 1), (2, 30.0, 1), (3, 5.0, 0)]
+
+
+def test_rules_join_like_successive_joins(spark):
     left = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, n int")
     x = spark.createDataFrame([("a", 1), ("a", 2), ("d", 9)], "k string, x int")
-    y = spark.createDataFrame([("a", 5), ("b", 6), ("a", 7), (None, 8)], "k string, y int")
-    one = left.join(J.merge_profiles([x, y], ["k"]), "k", "left").select("k", "n", "x", "y")
-    two = left.join(x, "k", "left").join(y, "k", "left").select("k", "n", "x", "y")
+    y = spark.createDataFrame([("a", 5), ("b", 6), ("a", 7), (None, 8), ("b", 6)], "k string, y int")
+    one = J.attach_rules(left, [x, y], ["k"]).select("k", "n", "x", "y")
+    two = left.join(x, "k", "left").join(y.distinct(), "k", "left").select("k", "n", "x", "y")
     assert sorted(map(str, one.collect())) == sorted(map(str, two.collect()))
 
 
+def test_rules_share_one_exchange_of_the_listings(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        base = spark.range(1000).selectExpr("cast(id % 7 as string) k", "id")
+        rules = [spark.range(20).selectExpr(f"cast(id as string) k", f"id as r{i}") for i in range(4)]
+        plan = J.attach_rules(base, rules, ["k"])._jdf.queryExecution().executedPlan().toString()
+        assert "FullOuter" not in plan and plan.count("Exchange hashpartitioning(k") <= 5  # one of the listings, one per rule table
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_dictionary_lookup_does_not_move_rows(spark, monkeypatch):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).selectExpr("cast(id % 7 as string) c", "id % 2 as y")
+        d = EN.fit_woe(df, "c", "y")
+        small = EN.apply_woe(df, d, "c")
+        assert "Exchange hashpartitioning" not in small._jdf.queryExecution().executedPlan().toString()
+        monkeypatch.setattr(EN, "LOOKUP_ROWS", 2)
+        assert sorted(map(str, EN.apply_woe(df, d, "c").collect())) == sorted(map(str, small.collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pooled_variance_of_large_values_and_nulls(spark):
+    a, b = [1e9 + x for x in range(10)], [1e9 + 3 * x for x in range(10)]
+    norm = EN.fit_global_norm(spark.createDataFrame(list(zip(a, b)), "a double, b double"), ["a", "b"]).first()
+    assert abs(norm["variance"] - np.var(a + b)) < 1e-3
+    holes = EN.fit_global_norm(spark.createDataFrame([(1.0, None), (3.0, 2.0)], "a double, b double"), ["a", "b"]).first()
+    assert holes["mean"] == 2.0 and abs(holes["variance"] - 2 / 3) < 1e-12
+
+
+def test_dirty_date_keys_and_undersampling(spark):
+    keys = spark.createDataFrame([(20240229,), (20230229,), (7,), (None,)], "k int")
+    assert [r[0] for r in keys.select(S.date_from_key("k")).collect()] == [dt.date(2024, 2, 29), None, None, None]
+    df = spark.range(2000).selectExpr("id", "cast(id % 10 = 0 as int) as y")
+    n = {r["y"]: r["count"] for r in EN.undersample(df, "y", {0: 25}, "id").groupBy("y").count().collect()}
+    assert n[1] == 200 and 350 < n[0] < 550
+
+
+def test_running_totals_over_strings_and_dates(spark):
+    rows = [(w, dt.date(2020, 1, 1 + len(w))) for w in ["b", "a", "ccc", "a", "é", "b", "b"]]
+    df = spark.createDataFrame(rows, "w string, d date")
+    for c in ("w", "d"):
+        out = O.running_totals(df, c, {"n": F.count(F.lit(1))}, slice_rows=1).orderBy(c).collect()
+        assert [r["cum_n"] for r in out] == list(np.cumsum([r["n"] for r in out])) and out[-1]["cum_n"] == 7
+
+
+def test_stages_resume_and_log(spark, tmp_path):
+    built = []
+
+    def make(n):
+        def build():
+            built.append(n)
+            return spark.range(n)
+        return build
+    path, log = str(tmp_path / "one"), str(tmp_path / "log")
+    assert T.staged(make(3), spark, path, log).count() == T.staged(make(5), spark, path, log).count() == 3
+    assert built == [3]
+    steps = spark.read.parquet(log).collect()
+    assert sorted((r.stepname, r.endtime is None) for r in steps) == [("one", False), ("one", True)]
+    (tmp_path / "one" / "_SUCCESS").unlink()
+    assert T.staged(make(5), spark, path).count() == 5
+
+
+def test_snapshot_removes_the_expired_day(spark, tmp_path):
+    path = str(tmp_path / "snap")
+    for day in range(1, 10):
+        SN.write_snapshot(spark.range(day), path, dt.date(2024, 1, day))
+    days = [r[0] for r in spark.read.parquet(path).select("snapshot_date").distinct().orderBy("snapshot_date").collect()]
+    assert days == [dt.date(2024, 1, d) for d in range(3, 10)]
+
+
 def test_shared_endpoint_gives_one_row_per_different_cutoff(spark):
     df = spark.createDataFrame([("s", 400.0)], "subcategory_id string, selling_price double")
     bands = [("s", 0.0, 400.0, 1.0), ("s", 400.0, 900.0, 1.0), ("s", 300.0, 500.0, 2.0)]
@@ -109,10 +217,10 @@ def test_running_totals_and_percentiles_match_numpy(spark):
     rnd = random.Random(1)
     data = [(rnd.choice("ab") if rnd.random() > .05 else None, rnd.choice([7.0, round(rnd.gauss(50, 20), 1)])) for _ in range(3000)]
     df = spark.createDataFrame(data, "k string, v double")
-    t = {(r["k"], r["v"]): r for r in O.running_totals(df, "v", {"n": F.count(F.lit(1))}, ["k"], slices=8).collect()}
+    t = {(r["k"], r["v"]): r for r in O.running_totals(df, "v", {"n": F.count(F.lit(1))}, ["k"], slice_rows=60).collect()}
     for (k, v), r in t.items():
         assert r["cum_n"] == sum(1 for a, b in data if a == k and b <= v)
-    got = {r["k"]: r for r in O.exact_percentiles(df, "v", {"p10": .1, "p50": .5, "p90": .9}, ["k"], slices=8).collect()}
+    got = {r["k"]: r for r in O.exact_percentiles(df, "v", {"p10": .1, "p50": .5, "p90": .9}, ["k"], slice_rows=60).collect()}
     for k in ("a", "b", None):
         vs = [b for a, b in data if a == k]
         for n, q in (("p10", 10), ("p50", 50), ("p90", 90)):
@@ -158,8 +266,8 @@ def test_scaling_constant_column_and_one_hot_limit(spark):
     df = spark.createDataFrame([(1.0, 5.0), (3.0, 5.0)], "a double, c double")
     assert values(EN.apply_scaler(df, EN.fit_scaler(df, ["a", "c"]), ["a", "c"]), "a", "c") == [(-1.0, 0.0), (1.0, 0.0)]
     vocab = spark.createDataFrame([(str(i),) for i in range(5)], "v string")
-    with pytest.raises(ValueError):
-        EN.one_hot(vocab, "v", vocab, limit=3)
+    wide = spark.range(700).selectExpr("cast(id as string) v")
+    assert len(EN.one_hot(vocab, "v", wide).columns) == 701
     assert EN.one_hot_vector(vocab, "v", "vec").transform(vocab).count() == 5
 
 
