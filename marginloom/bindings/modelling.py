@@ -305,6 +305,24 @@ def bin_report(f: Frames):
     return rounded(out, "bin_lo", "bin_hi", "actual_mean").withColumn("bin", F.col("bin").cast("bigint"))
 
 
+@query(ddb("""select bin, round(case when bin = 1 then lo - (hi - lo) * 0.001e0 else lo + (bin - 1) * (hi - lo) / 10 end, 6) as bin_lo,
+   round(lo + bin * (hi - lo) / 10, 6) as bin_hi, count(score) as n, round_even(avg(score) * 100, 0) / 100 as score_mean, round(avg(rto), 6) as actual_mean,
+   round_even(cast(count(score) * 100 as double) / sum(count(score)) over () * 100, 0) / 100 as salience_pct
+   from (select r.*, e.*, case when x = lo then 1 else cast(ceil((x - lo) * 10 / (hi - lo)) as bigint) end as bin
+         from (select score, rto, cast(l_orderkey % 93 as double) as x from returns) r,
+              (select min(l_orderkey % 93)::double as lo, max(l_orderkey % 93)::double as hi from returns) e) b group by 1, 2, 3"""))
+def bin_report_cut(f: Frames):
+    d = f.returns.select("score", "rto", (F.col("l_orderkey") % 93).alias("x"))
+    out = B.bin_report(d, "x", "score", "rto", method="cut", q=10)
+    return rounded(out, "bin_lo", "bin_hi", "actual_mean").withColumn("bin", F.col("bin").cast("bigint"))
+
+
+@query(ddb("""select code, l_partkey, rto from returns where rto is distinct from 0
+   or cast('0x' || substr(md5(cast(code as varchar) || ':42'), 1, 8) as bigint) % 100 < 30"""))
+def undersample(f: Frames):
+    return EN.undersample(f.returns.select("code", "l_partkey", "rto"), "rto", {0: 30}, "code")
+
+
 # ---- evaluation ----------------------------------------------------------------------------------------
 
 
