@@ -58,10 +58,11 @@ def climb(nodes: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
         jumps.append(open_.select("node", "up"))
         above = state.select(F.col("node").alias("up"), F.col("up").alias("up2"), F.col("root").alias("root2"),
                              F.col("depth").alias("depth2"), F.col("total").alias("total2"))
-        state = cut(state.join(above, "up", "left").select(
-            "node", F.col("up2").alias("up"), F.coalesce("root2", "root").alias("root"),
-            F.when(F.col("root2").isNotNull(), F.col("depth") + 1 + F.col("depth2")).otherwise(F.col("depth")).alias("depth"),
-            (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total")))
+        # those that have arrived stay out of the join, so short threads end early
+        moved = open_.join(above, "up").select(
+            "node", F.col("up2").alias("up"), F.col("root2").alias("root"), (F.col("depth") + 1 + F.col("depth2")).alias("depth"),
+            (F.col("total") + F.col("total2")).alias("total"))
+        state = cut(state.where(F.col("up").isNull()).unionByName(moved))
     return state.select("node", "root", "depth", "total"), jumps
 
 
