@@ -1 +1,8 @@
 """Training-data operators: mixing, licences, near-duplicates, quality, toxicity, lines, fingerprints, chat, URLs, packing."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to the executors whole, so that it need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -211,6 +211,7 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
     rows = cut(docs.select(F.col(id_col).alias("id"), _fingerprints(F.col(text_col)).alias("fp")))
     distinct = rows.groupBy("fp").agg(F.min("id").alias("first"))
     roots = components(near_links(distinct.select("fp"), bits))
+    arrow_rows(spark)
     linked = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     of = linked.select("fp", "root").join(least, "root").select("fp", "component_id")
