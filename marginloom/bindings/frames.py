@@ -260,7 +260,7 @@ FRAME_SQL: dict[str, str] = {
         select l_partkey as product_sid, l_suppkey as vendor_sid, {_m('l_suppkey')} as seller_code,
                lower({_s('l_partkey')}) as supc,
                case when l_suppkey % 4 = 0 then 'disable' else 'keep' end as new_logic_status,
-               case when l_suppkey % 4 = 0 then 'returns' when l_linenumber % 3 = 0 then 'stock' end as new_logic_reason,
+               case when l_suppkey % 4 = 0 then 'returns' when l_partkey % 3 = 0 then 'stock' end as new_logic_reason,
                case l_suppkey % 5 when 0 then 'Red' when 1 then 'Yellow-Bad' when 2 then 'Yellow-Good'
                     when 3 then 'Green' end as seller_zone
         from {{lineitem}}""",

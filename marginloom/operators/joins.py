@@ -204,11 +204,23 @@ def update_from(target: DataFrame, source: DataFrame, keys: Mapping[str, str], a
     return joined.select(*out)
 
 
-def attach_rules(df: DataFrame, frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
-    """Left-joins rule tables of one key one after the other, so that one partitioning of ``df`` serves them all."""
-    for f in frames:
-        known = f
+def fold_rules(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Rule tables of one key as one table: every key that occurs, with the product of its rows in the tables.
+
+    The tables are stacked as rows with one filled struct each and aggregated once per key, so every table is read
+    and moved once, and a large table then takes one join for all of them. A key holds few rules. Equal rows of
+    a table count once, and rows with a NULL key, which match nothing, are left out.
+    """
+    columns = [[c for c in f.columns if c not in keys] for f in frames]
+    stacked = []
+    for i, (f, own) in enumerate(zip(frames, columns)):
         for k in keys:
-            known = known.where(F.col(k).isNotNull())
-        df = df.join(known.distinct(), list(keys), "left")
-    return df
+            f = f.where(F.col(k).isNotNull())
+        stacked.append(f.select(*keys, F.struct(*own).alias(f"_s{i}")))
+    if len(frames) == 1:
+        return stacked[0].distinct().select(*keys, "_s0.*")
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), stacked)
+    out = rows.groupBy(*keys).agg(*[F.collect_set(f"_s{i}").alias(f"_s{i}") for i in range(len(frames))])
+    for i in range(len(frames)):
+        out = out.withColumn(f"_s{i}", F.explode_outer(f"_s{i}"))
+    return out.select(*keys, *[f"_s{i}.{c}" for i, own in enumerate(columns) for c in own])

@@ -1,7 +1,7 @@
 """Staged cashback pricing: from sub-orders and listings to ten price lists with push flags.
 
-Every stage is a function of DataFrames; ``run`` chains them and writes them. Rule tables join the listings key set by
-key set, so that one partitioning of the large table serves all rules of a key.
+Every stage is a function of DataFrames; ``run`` chains them and writes them. Rule tables of one key are stacked and
+aggregated once per key, so that the listings take one join per key set.
 """
 
 from __future__ import annotations
@@ -287,7 +287,7 @@ def attach_profiles(base: DataFrame, p: Profiles) -> DataFrame:
         out = out.join(frame, keys, "left")
     out = out.drop("_vf", "_sf")
     for keys, frames in p.by_key:
-        out = J.attach_rules(out, frames, keys)
+        out = out.join(J.fold_rules(frames, keys), list(keys), "left")
     return out
 
 
@@ -716,8 +716,9 @@ def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = No
     flagged = stage("exceptions", lambda: exceptions_from(t, as_of, policy, base))
     priced = lambda: rounding_stage(cashback_stage(flagged, t.pushed_status, t.exception_mapping, as_of, policy), t.price_points)
     lists = stage("lists", lambda: list_stage(priced(), policy))
-    offers = stage("offers", lambda: list_deltas(clamp_stage(overlay_stage(lists)), as_of))
+    # the match reads few columns of the lists, so this narrow step is cheaper twice than written
+    offers = list_deltas(clamp_stage(overlay_stage(lists)), as_of)
     final = stage("final", lambda: deal_stage(push_stage(offers, t.price_match_list, t.pog_visits, as_of, policy), t.deals, as_of))
     if snapshot_dir:
         write_snapshot(final, snapshot_dir, as_of)
-    return {"base": base, "exceptions": flagged, "lists": lists, "offers": offers, "final": final}
+    return {"base": base, "exceptions": flagged, "lists": lists, "final": final}
