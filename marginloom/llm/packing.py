@@ -9,6 +9,8 @@ its own partition in bounded windows, so nothing is shuffled and a lost task is
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,28 +40,48 @@ class WordTokens(dict):
 
     The byte-level pre-tokenizer never joins anything across a blank that follows a non-blank, so a text
     can be cut at single blanks and each word looked up. Texts with two blanks in a row, and those that
-    spell a special token, go through ``tokenizers`` whole. The memory of a task is bounded: a full table
-    starts anew.
+    spell a special token, go through ``tokenizers`` whole. Memory is bounded: a full table becomes the older
+    generation, from which words move up when they come again.
     """
 
-    def __init__(self, json_path: str, ranks_path: str, pattern: str, most: int = 300_000):
+    def __init__(self, json_path: str, ranks_path: str, pattern: str, most: int = 400_000):
         super().__init__()
         self.whole = Tokenizer.from_file(json_path)
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(ranks_path, "rb"))}
         self.encode = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
-        self.most = most
+        self.most, self.older = most, {}
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        self[word] = ids = np.array(self.encode(" " + word), dtype="<u2").tobytes()
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.pack(self.encode(" " + word))
+        self[word] = ids
         return ids
 
+    @classmethod
+    def of_process(cls, json_path: str, ranks_path: str, pattern: str) -> WordTokens:
+        """The table that this worker process keeps from task to task."""
+        kept = vars(sys).setdefault("_marginloom_word_tables", {})
+        key = (json_path, ranks_path, pattern)
+        if key not in kept:
+            kept[key] = cls(json_path, ranks_path, pattern)
+        return kept[key]
+
+    @staticmethod
+    def pack(ids: list[int]) -> bytes:
+        out = array("H", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def ids(self, text: str) -> np.ndarray:
         if "  " in text or "<|endoftext|>" in text:
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, dtype="<u2")
         first, *rest = text.split(" ")
-        head = np.array(self.encode(first), dtype="<u2").tobytes() if first else b""
+        head = self.pack(self.encode(first))
         return np.frombuffer(b"".join([head, *map(self.__getitem__, rest)]), dtype="<u2")
 
 
@@ -143,7 +165,7 @@ def pack_documents(docs: DataFrame, json_path: str, ranks_path: str, pattern: st
               "sequence_id long, offset long")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, packer = WordTokens(json_path, ranks_path, pattern), Packer(limits)
+        words, packer = WordTokens.of_process(json_path, ranks_path, pattern), Packer(limits)
         base, made = TaskContext.get().partitionId() << 40, 0
         docs_open: dict[int, tuple] = {}
         serial = 0
