@@ -24,6 +24,8 @@ _ONES = sum(1 << (FIELD_BITS * f) for f in range(FIELDS))
 _PIECE = rf"(?:[^\x20\x09-\x0D]++[\x20\x09\x0B-\x0D]*+){{1,{PIECE_WORDS}}}"
 #: Rows that a slice of the order holds on average, and quantiles the slices start from at most.
 SLICE_ROWS, QUANTILES = 4_096, 256
+#: Slices (two numbers each) that are sent to every executor at most.
+BROADCAST_SLICES = 1_000_000
 
 
 def fingerprint(text: Column) -> Column:
@@ -80,8 +82,8 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(part)
 
 
-def _slices(ids: DataFrame) -> Column:
-    """A number that grows as ``id`` falls, about SLICE_ROWS rows each; NULL ids come last.
+def _slices(ids: DataFrame) -> tuple[Column, int]:
+    """A number that grows as ``id`` falls, about SLICE_ROWS rows each, NULL ids last; and how many there are at most.
 
     Quantiles (a bounded list) cut the ids into parts and each part into equal ranges.
     """
@@ -97,7 +99,8 @@ def _slices(ids: DataFrame) -> Column:
         low, high = F.get(tops, part - 1), F.coalesce(F.get(tops, part), F.lit(edges[-1]).cast("long") + 1)
         share = (F.col("id") - low).cast("double") / F.greatest((high - low).cast("double"), F.lit(1.0))
         inside = F.least(F.lit(fine - 1), F.coalesce(F.floor(share * fine).cast("int"), F.lit(0)))
-    return F.when(F.col("id").isNull(), F.lit(1)).otherwise(-(part * fine + inside)).cast("long")
+    number = F.when(F.col("id").isNull(), F.lit(1)).otherwise(-(part * fine + inside)).cast("long")
+    return number, (len(edges) + 1) * fine + 1
 
 
 def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -107,9 +110,12 @@ def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     order; the first row of a slice is also put at the end of the slice before, so that no slice needs another.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = rows.withColumn("slice", _slices(rows)).withColumn("h", F.xxhash64("text"))
+    slice_no, most = _slices(rows)
+    rows = rows.withColumn("slice", slice_no).withColumn("h", F.xxhash64("text"))
     tops = rows.groupBy("slice").agg(F.max("id").alias("top"))
-    heads = rows.join(tops.withColumnRenamed("slice", "s"), (F.col("slice") == F.col("s")) & F.col("id").eqNullSafe(F.col("top")))
+    known = tops.withColumnRenamed("slice", "s")
+    # the number of slices is known, so the texts need not move to find the first of each
+    heads = rows.join(F.broadcast(known) if most <= BROADCAST_SLICES else known, (F.col("slice") == F.col("s")) & F.col("id").eqNullSafe(F.col("top")))
     first = heads.groupBy("slice").agg(F.min(F.struct("h", "text")).alias("m")).select("slice", "m.h", "m.text")
     circle = Window.orderBy("slice")
     order = tops.select("slice", F.coalesce(F.lag("slice").over(circle), F.max("slice").over(Window.partitionBy(F.lit(0)))).alias("goes_to"))

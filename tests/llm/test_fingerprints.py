@@ -21,8 +21,9 @@ def edits(rows):
         yield name, len(text), hashlib.sha256((text[:len(text) - k] + after[:k]).encode()).hexdigest()
 
 
-@pytest.mark.parametrize("slice_rows", [4_096, 7])
-def test_query(spark, monkeypatch, slice_rows):
+@pytest.mark.parametrize("slice_rows, broadcast", [(4_096, 10**6), (7, 10**6), (7, 0)])
+def test_query(spark, monkeypatch, slice_rows, broadcast):
+    monkeypatch.setattr(fingerprints, "BROADCAST_SLICES", broadcast)
     monkeypatch.setattr(fingerprints, "SLICE_ROWS", slice_rows)
     monkeypatch.setattr(fingerprints, "QUANTILES", 5)
     docs = pq.read_table(f"{SF}/documents.parquet").to_pylist()
