@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from marginloom.llm.common import WORD, cut
 
 #: Rows of one source that a slice of the key holds on average.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 2_000
+#: Sources (one row each) that are sent to every executor at most; more are joined by source.
+BROADCAST_SOURCES = 500_000
 
 
 def word_count(text: Column) -> Column:
@@ -64,6 +66,11 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...] = (1, 2, 3), ma
             .withColumn("target", F.least("cap", F.col("weight") * F.col("final"))).drop("capped", "open_weight", "level", "all_words", "final", "ratio", "turn"))
 
 
+def _per_source(rows: DataFrame, sources: int) -> DataFrame:
+    """A table of at most ``sources`` rows, sent out if that is few, so that a source with most rows needs no shuffle."""
+    return F.broadcast(rows) if sources <= BROADCAST_SOURCES else rows
+
+
 def mixing_plan(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_epochs: float = 3) -> DataFrame:
     """One row per source: source_size, target, epochs, last_key (the largest key of the fraction; NULL: none).
 
@@ -77,8 +84,9 @@ def mixing_plan(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_ep
             .withColumn("slices", F.ceil(F.col("n") / SLICE_ROWS)))
     plan = cut(plan.select("source", "source_size", "target", "epochs", "budget", "slices"))
 
+    sources = plan.count()
     of = plan.select(F.col("source").alias("s"), "budget", "slices")
-    keyed = (sizes.join(of, F.col("source").eqNullSafe(F.col("s"))).drop("s")
+    keyed = (sizes.join(_per_source(of, sources), F.col("source").eqNullSafe(F.col("s"))).drop("s")
              .withColumn("slice", F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("slices"))))
     sums = keyed.groupBy("source", "slice", "budget").agg(F.sum("size").alias("words"))
     upto = Window.partitionBy("source").orderBy("slice")
@@ -86,7 +94,7 @@ def mixing_plan(sizes: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_ep
             .where((F.col("before") < F.col("budget")) & (F.col("budget") > 0))
             .withColumn("n", F.row_number().over(Window.partitionBy("source").orderBy(F.desc("slice")))).where("n = 1")
             .select(F.col("source").alias("s"), F.col("slice").alias("end_slice"), "before"))
-    edge = keyed.join(last, F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("end_slice")))
+    edge = keyed.join(_per_source(last, sources), F.col("source").eqNullSafe(F.col("s")) & (F.col("slice") == F.col("end_slice")))
     per_key = edge.groupBy("source", "key", "before", "budget", "slice").agg(F.sum("size").alias("words"))
     running = F.col("before") + F.sum("words").over(Window.partitionBy("source").orderBy("key")) - F.col("words") / 2
     in_slice = per_key.withColumn("middle", running)
@@ -116,8 +124,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     table gives no rows; a source without words has target 0.
     """
     sizes = cut(measured(docs, id_col, text_col, source_col))
-    plan = mixing_plan(sizes, weights, max_epochs).withColumnRenamed("source", "s")
-    rows = sizes.join(plan, F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", copies(F.col("key")))
+    plan = cut(mixing_plan(sizes, weights, max_epochs).withColumnRenamed("source", "s"))
+    rows = sizes.join(_per_source(plan, plan.count()), F.col("source").eqNullSafe(F.col("s"))).withColumn("copies", copies(F.col("key")))
     return rows.select(F.col("id").alias(id_col), "size", "source_size", F.col("target").cast("double").alias("target"),
                        (F.col("size") * F.col("copies")).alias("taken"), "copies")
 
@@ -131,5 +139,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     plan = cut(mixing_plan(cut(measured(docs, id_col, text_col, source_col)), weights, max_epochs)).withColumnRenamed("source", "s")
     key = sampling_key(F.col(f"row.{id_col}"), quality_weight(F.col(f"row.{text_col}")))
     rows = docs.select(F.col(source_col).alias("of"), F.struct("*").alias("row"))
-    taken = rows.join(plan, F.col("of").eqNullSafe(F.col("s"))).withColumn("copies", copies(key).cast("int"))
+    taken = rows.join(_per_source(plan, plan.count()), F.col("of").eqNullSafe(F.col("s"))).withColumn("copies", copies(key).cast("int"))
     return taken.where("copies > 0").select(F.explode(F.array_repeat("row", F.col("copies"))).alias("row")).select("row.*")

@@ -207,8 +207,9 @@ def brute_targets(sizes, weights=(1, 2, 3), most=3):
         capped |= {s: most * sizes[s] for s in over}
 
 
-@pytest.mark.parametrize("slice_rows", [20_000, 7])
-def test_mixing_meets_targets(spark, docs_of, monkeypatch, slice_rows):
+@pytest.mark.parametrize("slice_rows, broadcast", [(20_000, 500_000), (7, 500_000), (7, 0)])
+def test_mixing_meets_targets(spark, docs_of, monkeypatch, slice_rows, broadcast):
+    monkeypatch.setattr(mixing, "BROADCAST_SOURCES", broadcast)
     monkeypatch.setattr(mixing, "SLICE_ROWS", slice_rows)
     rnd = random.Random(5)
     plenty = {"b": 300, "ä": 20, None: 5, "c": 40, "a": 2, "empty": 3}
