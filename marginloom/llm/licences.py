@@ -52,7 +52,10 @@ def _template_rows(templates: Mapping[str, Sequence[str]]) -> list[tuple[str, in
 
 
 def _scored(units: DataFrame, files: DataFrame, templates: Mapping[str, Sequence[str]]) -> DataFrame:
-    """(unit, licence, score): the best template of each distinct unit that reaches MIN_COSINE."""
+    """(unit, licence, score): the best template of each distinct (unit, words) that reaches MIN_COSINE.
+
+    ``unit`` is a hash, so that a unit's words don't carry its text along.
+    """
     spark = files.sparkSession
     rows = _template_rows(templates)
     words = sorted({r[2] for r in rows})
@@ -66,7 +69,7 @@ def _scored(units: DataFrame, files: DataFrame, templates: Mapping[str, Sequence
     weights = weights.join(length, ["licence", "number"]).select("licence", "number", "term", (F.col("tf") * F.col("idf") / F.col("norm")).alias("weight"))
 
     unknown = F.log(F.lit(1.0 + total)) + 1.0
-    terms = (units.select("unit", F.explode(_terms(F.col("unit"))).alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
+    terms = (units.select("unit", F.explode(_terms(F.col("words"))).alias("term")).groupBy("unit", "term").agg(F.count("*").alias("tf"))
              .join(F.broadcast(vocabulary), "term", "left").withColumn("value", F.col("tf") * F.coalesce("idf", unknown)))
     norms = terms.groupBy("unit").agg(F.sqrt(F.sum(F.pow("value", F.lit(2)))).alias("norm"))
     dots = terms.where(F.col("idf").isNotNull()).join(F.broadcast(weights), "term").groupBy("unit", "licence", "number").agg(
@@ -99,10 +102,11 @@ def scan_licences(files: DataFrame, path_col: str = "path", text_col: str = "tex
     header = F.array_join(F.slice(lines, 1, HEADER_LINES), "\n")
     parts = F.concat(lines, F.array(header), F.when(name.rlike(LICENCE_FILE), F.array(F.col("lower"))).otherwise(F.array().cast("array<string>")))
     units = (texts.where(F.col("path").isNotNull() & F.col("lower").rlike(CUE)).select("path", name.rlike(LICENCE_FILE).alias("speaks"),
-             F.explode(parts).alias("unit")).where(F.col("unit").rlike(CUE)).select("path", "speaks", strip_spaces(F.col("unit")).alias("unit")))
-    scored = _scored(units.select("unit").distinct(), texts, templates)
+             F.explode(parts).alias("unit")).where(F.col("unit").rlike(CUE)).select("path", "speaks", strip_spaces(F.col("unit")).alias("words"))
+             .withColumn("unit", F.struct(F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), "words").alias("b"))))
+    scored = _scored(units.select("unit", "words").distinct(), texts, templates)
     best = F.min(F.struct((-F.col("score")).alias("rank"), "licence")).alias("m")
-    own = units.join(scored, "unit").groupBy("path", "speaks").agg(best).select("path", "speaks", "m.licence", (-F.col("m.rank")).alias("score"))
+    own = units.select("path", "speaks", "unit").join(scored, "unit").groupBy("path", "speaks").agg(best).select("path", "speaks", "m.licence", (-F.col("m.rank")).alias("score"))
     speaking = (own.where("speaks").groupBy(_directory(F.col("path")).alias("from_dir")).agg(best)
                 .select("from_dir", F.col("m.licence").alias("d_licence"), (-F.col("m.rank")).alias("d_score")))
 
