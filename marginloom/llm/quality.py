@@ -72,7 +72,8 @@ def _portion(words: list[bytes], lengths: np.ndarray, counts: np.ndarray) -> dic
     out = {"n_repeat_words": np.zeros(docs, dtype=np.int64)}
     rolling, at = hashed.copy(), np.arange(total)
     for n in range(2, max(max(REPEATED_NGRAM), BASE_WINDOW) + 1):
-        rolling[:total - n + 1] = rolling[:total - n + 1] * np.uint64(0x9E3779B97F4A7C15) + hashed[n - 1:]
+        whole = max(total - n + 1, 0)
+        rolling[:whole] = rolling[:whole] * np.uint64(0x9E3779B97F4A7C15) + hashed[n - 1:]
         at = at[at + n <= ends[at]]
         at, first, count = _repeats(_mixed(rolling[at] ^ salt[at]), at)
         if n in TOP_NGRAM:

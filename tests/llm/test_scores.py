@@ -72,6 +72,14 @@ def test_coverage_equals_brute_force(monkeypatch):
             assert tuple(rows[c][i] for c in COUNTS) == base(t)
 
 
+def test_short_texts_alone(docs_of):
+    for n in range(13):
+        for text in (" ".join(f"w{i}" for i in range(n)), "a " * n):
+            rows, want = quality.measure([text]), shares(text)
+            assert tuple(rows[c][0] for c in COUNTS) == base(text) and all(abs(rows[c][0] - want[c]) < 1e-9 for c in quality.SHARES if c in want)
+    assert [r.kept for r in quality.judge_quality(docs_of([(1, "one two three")])).collect()] == [False]
+
+
 def test_quality_edges(docs_of):
     clean = " ".join(f"word{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, clean), (3, clean), (None, clean), (4, (clean + "\n") * 4), (5, clean + " again and again" * 15),
