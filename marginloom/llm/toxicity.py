@@ -126,15 +126,20 @@ def held_out(id_: Column, folds: int = 5) -> Column:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
-    """(text, label, part): the labelled rows to learn from, smallest hash first; part 0 fits, part 1 calibrates."""
+    """(text, label, weight, part): the labelled rows to learn from, smallest hash first; part 0 fits, part 1 calibrates.
+
+    A row's weight is the number of labelled rows that it stands for, so that the classes keep their shares at any size.
+    """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).cast("int").alias("label"))
              .withColumn("h", F.xxhash64("labelled")))
-    picked = [known.where(F.col("label") == v).orderBy("h", "labelled").limit(n) for v, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_OTHER))]
-    # at most SAMPLE_TOXIC + SAMPLE_OTHER rows of 24 bytes
+    totals = dict(known.groupBy("label").count().collect())
+    picked = [known.where(F.col("label") == v).orderBy("h", "labelled").limit(n).withColumn("weight", F.lit(max(totals.get(v, 0) / n, 1.0)))
+              for v, n in ((1, SAMPLE_TOXIC), (0, SAMPLE_OTHER))]
+    # at most SAMPLE_TOXIC + SAMPLE_OTHER rows of 32 bytes
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, F.col("id") == F.col("labelled"))
-    return cut(rows.select("text", "label", F.pmod(F.col("h"), 4).eqNullSafe(0).cast("int").alias("part")))
+    return cut(rows.select("text", "label", "weight", F.pmod(F.col("h"), 4).eqNullSafe(0).cast("int").alias("part")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"):
@@ -145,13 +150,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not all(parts.get((0, v)) for v in (0, 1)):
         return None
     lexicon = learn_lexicon(sample.where("part = 0"))
-    rows = cut(sample.select("part", F.col("label").cast("double").alias("label"),
+    rows = cut(sample.select("part", "weight", F.col("label").cast("double").alias("label"),
                              array_to_vector(_features(lexicon)(F.col("text"))).alias("features")))
-    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=11, maxBins=64, minInstancesPerNode=5).fit(
+    trees = GBTClassifier(maxIter=20, maxDepth=4, stepSize=0.2, seed=11, maxBins=64, minInstancesPerNode=5, weightCol="weight").fit(
         rows.where("part = 0").repartition(4))
     check = rows.where("part = 1") if all(parts.get((1, v)) for v in (0, 1)) else rows
-    level = IsotonicRegression(featuresCol="raw").fit(
-        trees.transform(check).select("label", vector_to_array("probability")[1].alias("raw")))
+    level = IsotonicRegression(featuresCol="raw", weightCol="weight").fit(
+        trees.transform(check).select("label", "weight", vector_to_array("probability")[1].alias("raw")))
     return lexicon, trees, level
 
 

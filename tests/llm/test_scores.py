@@ -122,6 +122,15 @@ def test_toxicity_learns_and_holds_out(spark, docs_of):
     assert len({r.score for r in got if r.doc_id == 7}) == 1
 
 
+def test_scores_keep_the_share_of_labels_when_the_sample_is_capped(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_TOXIC", 200)
+    monkeypatch.setattr(toxicity, "SAMPLE_OTHER", 100)
+    rows = [(i, "the plan of the day " * (3 + i // 5 % 4)) for i in range(2_000)]
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = toxicity.score_documents(docs_of(rows), labels).collect()
+    assert abs(sum(r.score for r in got) / len(got) - 0.2) < 0.08 and not any(r.predicted for r in got)
+
+
 def test_toxicity_without_labels(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score_documents(docs_of([(1, "a"), (2, None)]), none).collect()} == {0.0}
