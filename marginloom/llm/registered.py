@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import chat, fingerprints, licences, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
+from marginloom.llm import bpe, chat, fingerprints, licences, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,15 @@ def op10_pack_sequences(spark, sf_dir):
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+@query()
+def op11_stream_bpe(spark, sf_dir):
+    where = {"json_path": TOKENS["json_path"]}
+    encoded = bpe.encode_documents(table(spark, sf_dir, "documents"), pattern=TOKENS["pattern"], **where)
+    return bpe.decode_documents(encoded, **where).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
