@@ -62,7 +62,9 @@ class MergeList:
         merges = [tuple(map(raw, m.split(" ") if isinstance(m, str) else m)) for m in file["model"]["merges"]]
         self.bytes_of = {i: b for b, i in ids.items()} | {i: s.encode() for s, i in self.special.items()}
         self.single = [ids[bytes([b])] for b in range(256)]
-        self.rank = {(ids[a], ids[b]): r for r, (a, b) in enumerate(merges)}
+        self.after = [{} for _ in range(max(self.bytes_of, default=-1) + 1)]  # by left id: right id to rank
+        for r, (a, b) in enumerate(merges):
+            self.after[ids[a]][ids[b]] = r
         self.made = [ids[a + b] for a, b in merges]
         self.reach = self._reach(merges)
         self.longest = max(map(len, ids))
@@ -87,36 +89,36 @@ class MergeList:
         tokens = [self.single[b] for b in data]
         if len(tokens) > SCANNED:
             return self._encode_long(tokens)
-        rank = self.rank
-        ranks = [rank.get(p, _NONE) for p in zip(tokens, tokens[1:])]
+        after, made = self.after, self.made
+        ranks = [after[a].get(b, _NONE) for a, b in zip(tokens, tokens[1:])]
         while ranks:
             best = min(ranks)
             if best == _NONE:
                 break
             i = ranks.index(best)
-            tokens[i:i + 2] = [self.made[best]]
-            del ranks[i]
+            tokens[i] = joined = made[best]
+            del tokens[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = rank.get((tokens[i - 1], tokens[i]), _NONE)
+                ranks[i - 1] = after[tokens[i - 1]].get(joined, _NONE)
             if i < len(ranks):
-                ranks[i] = rank.get((tokens[i], tokens[i + 1]), _NONE)
+                ranks[i] = after[joined].get(tokens[i + 1], _NONE)
         return tokens
 
     def _encode_long(self, tokens: list[int]) -> list[int]:
         """The same with a heap of (rank, place) over a linked list."""
-        rank, n = self.rank, len(tokens)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(r, i) for i, p in enumerate(zip(tokens, tokens[1:])) if (r := rank.get(p)) is not None]
+        n, rank = len(tokens), lambda i, j: self.after[tokens[i]].get(tokens[j])
+        right, left = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i) for i in range(n - 1) if (r := rank(i, i + 1)) is not None]
         heapq.heapify(heap)
         while heap:
             r, i = heapq.heappop(heap)
-            if tokens[i] is None or (j := after[i]) == n or rank.get((tokens[i], tokens[j])) != r:
+            if tokens[i] is None or (j := right[i]) == n or rank(i, j) != r:
                 continue  # one of the two was merged meanwhile
-            tokens[i], tokens[j], after[i] = self.made[r], None, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for a in (before[i], i):
-                if a >= 0 and after[a] < n and (s := rank.get((tokens[a], tokens[after[a]]))) is not None:
+            tokens[i], tokens[j], right[i] = self.made[r], None, right[j]
+            if right[j] < n:
+                left[right[j]] = i
+            for a in (left[i], i):
+                if a >= 0 and right[a] < n and (s := rank(a, right[a])) is not None:
                     heapq.heappush(heap, (s, a))
         return [t for t in tokens if t is not None]
 
@@ -152,11 +154,11 @@ class Encoder:
     move up when they come again, so its memory is bounded.
     """
 
-    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = 250_000):
+    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = 400_000):
         self.merges, self.pattern, self.special = merges, regex.compile(pattern), dict(special or {})
         self.markers = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if special else None
         self.widest = max(map(len, self.special), default=0)
-        self.most, self.known, self.older = words, {}, {}
+        self.most, self.known, self.older, self.bare = words, {}, {}, {}
         self.rest, self.run, self.stream = "", None, None
 
     def encode(self, text: str) -> list[int]:
@@ -211,15 +213,28 @@ class Encoder:
             self.older, self.known = self.known, {}
         ids = self.older.get(word)
         if ids is None:
-            ids = tuple(self._unit(" " + word))
+            one_piece = word.isascii() and word.isalpha()
+            ids = tuple(self.merges.encode(b" " + word.encode()) if one_piece else self._unit(" " + word))
         if len(word) <= 64:
             self.known[word] = ids
         return ids
 
     def _unit(self, text: str) -> list[int]:
+        """Ids of text that no piece leaves; its pieces are words too, or stand without a blank before them."""
         out: list[int] = []
         for piece in self.pattern.findall(text):
-            out += self.merges.encode(piece.encode("utf-8", "replace"))
+            if piece[0] == " " and 1 < len(piece) < len(text):
+                ids = self.known.get(piece[1:])
+                out += self._learn(piece[1:]) if ids is None else ids
+                continue
+            ids = self.bare.get(piece)
+            if ids is None:
+                ids = self.merges.encode(piece.encode("utf-8", "replace"))
+                if len(piece) <= 64:
+                    if len(self.bare) >= self.most // 4:
+                        self.bare = {}
+                    self.bare[piece] = ids
+            out += ids
         return out
 
     def _pieces(self, text: str, at: int, out: list[int], sure: int, last: bool) -> int:
@@ -340,7 +355,9 @@ def decode_documents(encoded: DataFrame, json_path: str, ids_col: str = "ids", o
         decoder = of_process(json_path)
         for batch in batches:
             lists = batch.column(batch.schema.get_field_index(ids_col))
-            texts = [decoder.decode(x.values.to_pylist() if x.is_valid else ()) for x in lists]
+            ids = lists.flatten().fill_null(-1).to_numpy().tolist()
+            upto = np.cumsum(lists.value_lengths().fill_null(0).to_numpy()).tolist()
+            texts = [decoder.decode(ids[i:j]) for i, j in zip([0, *upto], upto)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*columns, out])
 
     return encoded.select(columns).mapInArrow(decode, schema)
