@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import alignment, bpe, chat, fingerprints, licences, linededup, mixing, packing, quality, simhash, toxicity, urlfilter
+from marginloom.llm import alignment, bpe, chat, fingerprints, licences, linededup, mixing, packing, quality, simhash, spelling, toxicity, urlfilter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,12 +123,17 @@ def op11_stream_bpe(spark, sf_dir):
 @query()
 def op12_align_tokens(spark, sf_dir):
     rows = alignment.align_documents(table(spark, sf_dir, "documents"), TOKENS["json_path"], TOKENS["pattern"],
-                                     public_tokenizers.path("piece_bpe_32k.model"))
+                                     public_tokenizers.path("piece_bpe_32k.model"), overlaps=False)
     hashed = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise("").alias("groups_sha256")
     digests = rows.select("doc_id", "row", "n_a", "n_b", F.size("links").cast("long").alias("n_groups"), hashed, "links")
     return alignment.weigh_links(digests, keep=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256"])
 
 
+@query()
+def op13_group_spellings(spark, sf_dir):
+    return spelling.variant_groups(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
