@@ -16,6 +16,7 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +30,8 @@ from marginloom.llm.common import arrow_rows, checkpoint_dir
 
 #: Ends of both lists that a piece merges, and bytes of text that are aligned together.
 PIECE, PORTION = 1 << 15, 1 << 20
+#: Words whose ids a worker keeps; two generations of them beside the other model's tables.
+WORDS = 150_000
 #: A pair that holds this share of all links or more is sent to every task; so at most this many are.
 SENT_PAIRS = 100_000
 #: An id pair is one number: A's id times this and B's id.
@@ -107,49 +110,67 @@ class PieceTable:
         return kept[path]
 
 
+class Spelling:
+    """Bytes and lengths of both vocabularies' ids, and how an id is written before each separator."""
+
+    def __init__(self, a_bytes: dict[int, bytes], b_bytes: list[bytes]):
+        self.a_bytes, self.b_bytes = a_bytes, b_bytes
+        self.a_size = np.array([len(a_bytes.get(i, b"")) for i in range(max(a_bytes) + 1)])
+        self.b_size = np.array([len(x) for x in b_bytes])
+        self.written = [f"{i}{mark}" for n, end in ((len(self.a_size), "|"), (len(self.b_size), ";")) for mark in (",", end) for i in range(n)]
+
+    @classmethod
+    def of_process(cls, json_path: str, model_path: str, merges: bpe.MergeList, table: PieceTable) -> Spelling:
+        """The one that this worker process keeps from task to task."""
+        kept = vars(sys).setdefault("_marginloom_spellings", {})
+        if (key := (json_path, model_path)) not in kept:
+            kept[key] = cls(merges.bytes_of, table.bytes_of)
+        return kept[key]
+
+
 class Portion:
     """Some texts' tokens on one axis of bytes, aligned together."""
 
-    def __init__(self, merges: bpe.MergeList, table: PieceTable):
-        self.a_bytes, self.b_bytes = merges.bytes_of, table.bytes_of
+    def __init__(self, spelling: Spelling):
+        self.spelling = spelling
         self.a_ids: list[list[int]] = []
         self.b_ids: list[list[int]] = []
 
     def add(self, text: str, a: list[int], b: list[int]) -> None:
         """A text whose tokens don't spell it out has none."""
-        whole = b" " + text.encode("utf-8", "replace")
-        spelt = text and b"".join(map(self.a_bytes.__getitem__, a)) == whole and b"".join(map(self.b_bytes.__getitem__, b)) == whole
+        whole, s = b" " + text.encode("utf-8", "replace"), self.spelling
+        spelt = text and b"".join(map(s.a_bytes.__getitem__, a)) == whole and b"".join(map(s.b_bytes.__getitem__, b)) == whole
         self.a_ids.append(a if spelt else [])
         self.b_ids.append(b if spelt else [])
 
-    def columns(self, size: int) -> list[pa.Array]:
-        """n_a, n_b, groups, links, overlaps of every text."""
+    def columns(self, size: int, overlaps: bool = True) -> list[pa.Array]:
+        """n_a, n_b, groups, links of every text, and its overlaps."""
         n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (self.a_ids, self.b_ids))
-        a, b = (np.fromiter((i for x in ids for i in x), dtype=np.int64, count=n.sum()) for ids, n in ((self.a_ids, n_a), (self.b_ids, n_b)))
-        a_end = np.cumsum(np.fromiter((len(self.a_bytes[i]) for i in a.tolist()), dtype=np.int64, count=len(a)))
-        b_end = np.cumsum(np.fromiter((len(self.b_bytes[i]) for i in b.tolist()), dtype=np.int64, count=len(b)))
-        end_a, end_b, over_a, over_b = aligned(a_end, b_end, size)
+        a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=n.sum()) for ids, n in ((self.a_ids, n_a), (self.b_ids, n_b)))
+        end_a, end_b, over_a, over_b = aligned(np.cumsum(self.spelling.a_size[a]), np.cumsum(self.spelling.b_size[b]), size)
         of = np.repeat(np.arange(len(n_a)), n_a)  # the text of a token of A
         lists = []
-        for x, y in ((end_a, end_b), (over_a, over_b)):
+        for x, y in ((end_a, end_b), (over_a, over_b))[:2 if overlaps else 1]:
             offsets = np.r_[0, np.cumsum(np.bincount(of[x], minlength=len(n_a)))].astype(np.int32)
             lists.append(pa.ListArray.from_arrays(offsets, pa.array(a[x] * B_IDS + b[y])))
-        return [pa.array(n_a), pa.array(n_b), pa.array(self._groups(a, b, end_a, end_b, n_a), pa.string()), *lists]
+        return [pa.array(n_a), pa.array(n_b), pa.array(self._groups(a, b, end_a, end_b, n_a + n_b), pa.string()), *lists]
 
-    @staticmethod
-    def _groups(a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, n_a: np.ndarray) -> Iterator[str]:
-        """``a1,a2|b1;a3|b2,b3``: what separates an id from the next one says whether it ends a group."""
+    def _groups(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray, n: np.ndarray) -> Iterator[str]:
+        """``a1,a2|b1;a3|b2,b3``: the written ids of each group's A tokens, then of its B tokens."""
         stop_a, stop_b = (np.zeros(len(x), dtype=bool) for x in (a, b))
         stop_a[end_a] = stop_b[end_b] = True
-        left, right = ("".join(f"{i}|" if s else f"{i}," for i, s in zip(x.tolist(), stop.tolist())) for x, stop in ((a, stop_a), (b, stop_b)))
-        halves = list(map("|".join, zip(left.split("|"), right.split("|"))))[:len(end_a)]
-        upto = np.searchsorted(end_a, np.cumsum(n_a))  # groups that end in a text or before it
-        return (";".join(halves[i:j]) for i, j in zip(np.r_[0, upto[:-1]].tolist(), upto.tolist()))
+        group_a, group_b = (np.cumsum(x) - x for x in (stop_a, stop_b))  # groups that end before a token
+        ids = np.empty(len(a) + len(b), dtype=np.int64)
+        ids[np.arange(len(a)) + np.r_[0, end_b + 1][group_a]] = a + len(self.spelling.a_size) * stop_a
+        ids[np.arange(len(b)) + np.r_[end_a + 1, 0][group_b]] = b + len(self.spelling.b_size) * stop_b + 2 * len(self.spelling.a_size)
+        upto = np.cumsum(n).tolist()
+        written, ids = self.spelling.written.__getitem__, ids.tolist()
+        return ("".join(map(written, ids[i:j]))[:-1] for i, j in zip([0, *upto], upto))
 
 
 def align_documents(docs: DataFrame, json_path: str, pattern: str, model_path: str, id_col: str = "doc_id",
-                    text_col: str = "text", piece: int = PIECE) -> DataFrame:
-    """(id, row, n_a, n_b, groups, links, overlaps) of every row.
+                    text_col: str = "text", piece: int = PIECE, overlaps: bool = True) -> DataFrame:
+    """(id, row, n_a, n_b, groups, links and, unless left out, overlaps) of every row.
 
     A's tokens are those of a blank and the text, B's those of the text, to which its model adds the blank. ``groups``
     spells out the ids between shared ends, ``links`` are the pairs whose ends meet, one per group, ``overlaps`` those
@@ -161,10 +182,12 @@ def align_documents(docs: DataFrame, json_path: str, pattern: str, model_path: s
     """
     arrow_rows(docs.sparkSession, 500)
     id_type = docs.schema[id_col].dataType.simpleString()
-    schema = f"`{id_col}` {id_type}, row long, n_a long, n_b long, groups string, links array<long>, overlaps array<long>"
+    schema = f"`{id_col}` {id_type}, row long, n_a long, n_b long, groups string, links array<long>" + ", overlaps array<long>" * overlaps
+    names = [id_col, "row", "n_a", "n_b", "groups", "links", "overlaps"][:7 if overlaps else 6]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = bpe.of_process(json_path, pattern, special=False), PieceTable.of_process(model_path)
+        encoder, table = bpe.of_process(json_path, pattern, special=False, words=WORDS), PieceTable.of_process(model_path)
+        spelling = Spelling.of_process(json_path, model_path, encoder.merges, table)
         made = TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = [bpe.text_of(x) for x in batch.column(1)]
@@ -174,14 +197,13 @@ def align_documents(docs: DataFrame, json_path: str, pattern: str, model_path: s
                 while upto < len(texts) and (upto == begin or size + len(texts[upto]) <= PORTION):
                     size += len(texts[upto])
                     upto += 1
-                portion = Portion(encoder.merges, table)
+                portion = Portion(spelling)
                 own = texts[begin:upto]
                 for text, b in zip(own, table.encode(own)):
                     portion.add(text, encoder.encode(" " + text) if text else [], b)
                 rows = pa.array(np.arange(made, made + len(own)))
                 made += len(own)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(own)), rows, *portion.columns(piece)],
-                                                 names=[id_col, "row", "n_a", "n_b", "groups", "links", "overlaps"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(begin, len(own)), rows, *portion.columns(piece, overlaps)], names=names)
                 begin = upto
 
     return docs.select(id_col, F.col(text_col).cast("binary")).mapInArrow(align, schema)

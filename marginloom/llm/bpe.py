@@ -36,6 +36,8 @@ SCANNED = 40
 LONG = 1 << 12
 #: Characters of a text that are fed at once, and ids that one Arrow batch holds.
 CHUNK, BATCH_IDS = 1 << 16, 1 << 20
+#: Words in each of the two generations of a table.
+WORDS = 400_000
 _NONE = 1 << 40
 _BLANK_AFTER_SPACE = re.compile(r"\s(?= )")
 _RUNS = [regex.compile(p) for p in (r"\s*", r"\p{L}*", r"\p{N}*", r"[^\s\p{L}\p{N}]*")]
@@ -154,7 +156,7 @@ class Encoder:
     move up when they come again, so its memory is bounded.
     """
 
-    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = 400_000):
+    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = WORDS):
         self.merges, self.pattern, self.special = merges, regex.compile(pattern), dict(special or {})
         self.markers = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if special else None
         self.widest = max(map(len, self.special), default=0)
@@ -298,14 +300,14 @@ class Decoder:
         return "".join([*parts, self.feed((), last=True)])
 
 
-def of_process(json_path: str, pattern: str | None = None, special: bool = True):
+def of_process(json_path: str, pattern: str | None = None, special: bool = True, words: int = WORDS):
     """The encoder (decoder, without a pattern) that this worker process keeps from task to task."""
     kept = vars(sys).setdefault("_marginloom_transducers", {})
-    if (key := (json_path, pattern, special)) not in kept:
+    if (key := (json_path, pattern, special, words)) not in kept:
         if json_path not in kept:
             kept[json_path] = MergeList(json_path)
         merges = kept[json_path]
-        kept[key] = Encoder(merges, pattern, merges.special if special else None) if pattern else Decoder(merges)
+        kept[key] = Encoder(merges, pattern, merges.special if special else None, words) if pattern else Decoder(merges)
     return kept[key]
 
 
