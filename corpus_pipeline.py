@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marginloom.llm import linededup, mixing, neardup, packing, toxicity
+from marginloom.llm import linededup, mixing, packing, simhash, toxicity
 from marginloom.llm.common import checkpoint_dir
 from marginloom.llm.registered import TOKENS, table
 
@@ -33,8 +33,8 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every group of near-duplicates: five-word shingles, Jaccard 0.8 or more."""
-    return neardup.keep_one_per_component(docs).select(docs.columns)
+    """One document of every group of near-duplicates: shingles of three words, fingerprints linked at three bits or fewer."""
+    return simhash.keep_one_per_group(docs, bits=3).select(docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
