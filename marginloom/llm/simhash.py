@@ -220,14 +220,22 @@ def near_duplicate_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str
 
 
 def keep_one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits: int = 3) -> DataFrame:
-    """The documents of the smallest id of each component; a row without an id can't be named and stays.
+    """One row of each component of ``near_duplicate_groups``: the smallest id's, NULL last, then the smallest hash of the row.
 
-    Of rows repeating an id the first by (fingerprint of the text, text) stays.
+    Every component keeps exactly one row, also where ids repeat, within a component or across components, or are
+    missing. NULL, empty and blank texts have fingerprint zero and are alike. Rows and columns stay as they are; an
+    empty table gives no rows. Only ids, hashes and fingerprints are shuffled, and the rows once where they are chosen.
     """
-    groups = near_duplicate_groups(docs, id_col, text_col, bits)
-    keep = groups.where(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias("keep_id")).distinct()
-    rows = docs.select(F.col(id_col).alias("id"), F.struct("*").alias("row"))
-    order = Window.partitionBy("id").orderBy(F.xxhash64(F.col("row")[text_col]), F.col("row")[text_col])
-    kept = (rows.join(keep, rows["id"] == keep["keep_id"]).select("id", "row")
-            .withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*"))
-    return kept.unionByName(docs.where(F.col(id_col).isNull()))
+    arrow_rows(docs.sparkSession)
+    row_hash = F.xxhash64(F.struct("*")).alias("hash")
+    rows = cut(docs.select(F.col(id_col).alias("id"), row_hash, _fingerprints(F.col(text_col)).alias("fp")))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "hash")
+    first = cut(rows.groupBy("fp").agg(F.min(rank).alias("first")))
+    roots = components(near_links(first.select("fp"), bits))
+    arrow_rows(docs.sparkSession)
+    chosen = (first.join(roots.withColumnRenamed("node", "fp"), "fp", "left").groupBy(F.coalesce("root", "fp").alias("root"))
+              .agg(F.min("first").alias("first")).select(F.col("first.id").alias("keep_id"), F.col("first.hash").alias("keep_hash")).distinct())
+    whole = docs.select(F.col(id_col).alias("id"), row_hash, F.struct("*").alias("row"))
+    mine = whole.join(chosen, (F.col("hash") == F.col("keep_hash")) & F.col("id").eqNullSafe(F.col("keep_id")))
+    order = Window.partitionBy("hash", "id").orderBy("hash")  # equal rows: any of them
+    return mine.select("id", "hash", "row").withColumn("n", F.row_number().over(order)).where("n = 1").select("row.*")
