@@ -20,7 +20,7 @@ from marginloom.operators import aggregates as A
 from marginloom.operators import joins as J
 from marginloom.operators import windows as W
 from marginloom.session import shared_dir
-from marginloom.sources.snapshots import write_snapshot
+from marginloom.sources.snapshots import commit_snapshot
 from marginloom.sources.tables import delete_where, staged
 
 PAIR = ["product_sid", "vendor_sid"]
@@ -702,7 +702,7 @@ def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = No
     With ``stage_dir`` a rerun with the same day and policy resumes after the last stage that was completed, and
     every step leaves a start and an end row in ``step_log`` there; a run with other inputs needs another folder. Without
     it the stages go to a fresh folder in the cluster's shared one. With ``snapshot_dir`` the final rows replace the day's
-    snapshot and the one of seven days ago is removed.
+    snapshot and the one of seven days ago goes, as one version of the table there (``snapshots.read_snapshots``).
     """
     spark = t.spark
     run_key = hashlib.sha256(repr((as_of, policy)).encode()).hexdigest()[:16]
@@ -720,5 +720,5 @@ def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = No
     offers = list_deltas(clamp_stage(overlay_stage(lists)), as_of)
     final = stage("final", lambda: deal_stage(push_stage(offers, t.price_match_list, t.pog_visits, as_of, policy), t.deals, as_of))
     if snapshot_dir:
-        write_snapshot(final, snapshot_dir, as_of)
+        commit_snapshot(final, snapshot_dir, as_of)
     return {"base": base, "exceptions": flagged, "lists": lists, "final": final}
