@@ -9,6 +9,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marginloom.functions.scalars import as_category
 
 #: Fitted rows that are sent to every executor at most; a larger dictionary is joined by its key.
 LOOKUP_ROWS = 20_000
@@ -52,6 +53,81 @@ def apply_woe(df: DataFrame, dictionary: DataFrame, category: str, out: str | No
     return joined.withColumn(out or category, value).drop("_w")
 
 
+#: Entries of a dictionary that are packed into one value at most; more are joined.
+PACKED_ENTRIES = 20_000
+#: Stands between a variable and its category in a packed key.
+_BETWEEN = "\x1f"
+
+
+def count_many(df: DataFrame, categories: Sequence[str], target: str) -> DataFrame:
+    """(variable, category, n, e): rows and events of every value of all columns, from one scan; missing is ``'nan'``.
+
+    Each row becomes one cell per column, which are summed before they are shuffled, so a value that most rows have
+    moves once per task. The row without a variable holds the totals. Counts of several days add up.
+    """
+    cell = lambda v, c: F.struct(v.cast("string").alias("variable"), c.alias("category"))
+    cells = [cell(F.lit(c), as_category(c)) for c in categories] + [cell(F.lit(None), F.lit(None).cast("string"))]
+    long = df.select(F.col(target).cast("double").alias("_t"), F.explode(F.array(*cells)).alias("cell"))
+    return long.groupBy("cell.variable", "cell.category").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("_t").alias("e"))
+
+
+def weigh_many(counts: DataFrame, min_count: int = 1, other: str = "other", signed: bool = True) -> DataFrame:
+    """(variable, category, woe) from ``count_many``: values rarer than ``min_count`` are one category, ``other``.
+
+    The weight is that of ``fit_woe`` after ``fit_vocab`` and ``apply_vocab`` column by column. ``counts`` is read
+    twice, once for its totals, so it should be a written table.
+    """
+    label = F.when(F.col("n") >= min_count, F.col("category")).otherwise(other)
+    grouped = counts.where("variable is not null").groupBy("variable", label.alias("category")).agg(F.sum("n").alias("n"), F.sum("e").alias("e"))
+    total = counts.where("variable is null").select(F.struct("n", "e").alias("t")).scalar()
+    g = grouped.withColumn("_t", total)
+    e, ne, te = F.col("e"), F.col("n") - F.col("e"), F.col("_t.e")
+    tne = F.col("_t.n") - te
+    value = 100 * F.log(((ne + 0.5) / tne) / ((e + 0.5) / te)) * (ne / tne - e / te)
+    if signed:
+        value = F.when(e / F.col("n") < te / F.col("_t.n"), -value).otherwise(value)
+    return g.select("variable", "category", value.alias("woe"))
+
+
+def _packed(dictionary: DataFrame, buckets: int) -> DataFrame:
+    """One row: the dictionary as an array of small maps, the map of a key at the place its hash names."""
+    key = F.concat("variable", F.lit(_BETWEEN), "category")
+    maps = (dictionary.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).alias("id"))
+            .agg(F.map_from_entries(F.collect_list(F.struct(key.alias("k"), F.col("woe").alias("w")))).alias("m")))
+    every = dictionary.sparkSession.range(buckets).join(maps, "id", "left")
+    return every.agg(F.transform(F.array_sort(F.collect_list(F.struct("id", F.map_keys("m").alias("k"), F.map_values("m").alias("w")))),
+                                 lambda x: F.map_from_arrays(x["k"], x["w"])).alias("maps"))
+
+
+def apply_many(df: DataFrame, dictionary: DataFrame, categories: Sequence[str], other: str = "other",
+               default: float | None = None, limit: int | None = None) -> DataFrame:
+    """Every column replaced by its weight: that of its value, else of ``other``, else NULL or ``default``.
+
+    A dictionary of up to ``limit`` entries becomes one value that every task holds, an array of small maps, so a
+    look-up is an expression: no join, and the rows don't move. A larger one is joined, column by column. The rows are
+    the same either way. ``dictionary`` is read more than once, so it should be a written table.
+    """
+    limit = PACKED_ENTRIES if limit is None else limit
+    entries = dictionary.count()
+    if entries > limit:
+        for c in categories:
+            own = dictionary.where(F.col("variable") == c).select(F.col("category").alias("_c"), F.col("woe").alias("_w"))
+            rest = own.where(F.col("_c") == other).select("_w").scalar()
+            df = df.withColumn("_v", as_category(c)).join(own, F.col("_v") == F.col("_c"), "left")
+            value = F.coalesce("_w", rest) if default is None else F.coalesce("_w", rest, F.lit(default))
+            df = df.withColumn(c, value).drop("_v", "_c", "_w")
+        return df
+    buckets = max(1, entries // 2)
+    held = df.withColumn("_maps", _packed(dictionary, buckets).scalar())
+
+    def weight(c: str, v: Column) -> Column:
+        key = F.concat(F.lit(c + _BETWEEN), v)
+        return F.try_element_at(F.get("_maps", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")), key)
+
+    found = {c: F.coalesce(weight(c, as_category(c)), weight(c, F.lit(other)), *([F.lit(default)] if default is not None else [])) for c in categories}
+    return held.withColumns(found).drop("_maps")
+
+
 def fit_vocab(df: DataFrame, category: str, min_count: int, strict: bool = False) -> DataFrame:
     """Categories with a count of at least ``min_count`` (more than, if ``strict``)."""
     n = df.where(F.col(category).isNotNull()).groupBy(category).agg(F.count(F.lit(1)).alias("n"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
@@ -9,6 +10,8 @@ from pyspark.sql import functions as F
 
 from marginloom.functions import scalars as S
 from marginloom.operators import encoders as EN
+from marginloom.session import shared_dir
+from marginloom.sources.tables import materialize
 
 # Fixed values: (shipments above, delivery % below) of the two chronic-return flags.
 CHRONIC = {"three_80": (3, 20), "five_70": (5, 30)}
@@ -47,6 +50,20 @@ def features(df: DataFrame, rates: Mapping[str, tuple[str, str]], duplicates: Ma
     return risk_flags(duplicate_flags(base, duplicates))
 
 
+def encode_many(train: DataFrame, others: Sequence[DataFrame], categories: Sequence[str], target: str,
+                min_count: int = 100, signed: bool = True) -> list[DataFrame]:
+    """Club rare categories and encode all columns at once, with everything fitted on ``train`` only.
+
+    The counts of all columns are one scan of ``train``, written to the shared folder; each frame is then encoded by
+    a look-up in the weights made from them. Clubbed train values include 'other' itself, so a value unseen in train ends there too.
+    """
+    spark = train.sparkSession
+    folder = f"{shared_dir(spark).rstrip('/')}/encoder-{uuid.uuid4().hex}"
+    counts = materialize(EN.count_many(train, categories, target), f"{folder}/counts")
+    dictionary = materialize(EN.weigh_many(counts, min_count, signed=signed), f"{folder}/weights")
+    return [EN.apply_many(f, dictionary, categories).fillna(MISSING) for f in (train, *others)]
+
+
 def encode(train: DataFrame, others: Sequence[DataFrame], categories: Sequence[str], target: str,
            min_count: int = 100, signed: bool = True) -> list[DataFrame]:
     """Club rare categories and encode, with everything fitted on ``train`` only."""
