@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from marginloom.functions import scalars as S
 from marginloom.operators import aggregates as A
 from marginloom.operators import joins as J
+from marginloom.operators import updates as U
 from marginloom.operators import windows as W
 from marginloom.session import shared_dir
 from marginloom.sources.snapshots import commit_snapshot
@@ -607,17 +608,26 @@ def clamp_stage(df: DataFrame) -> DataFrame:
                            for x, floor in FLOOR_OF.items()})
 
 
-def list_deltas(df: DataFrame, as_of: dt.date, coupon: str = "CATEGORY_OFFER") -> DataFrame:
-    """What the sale lists add to the list below, the coupon code of the category, and the fixed columns of the price file."""
-    code = F.concat(F.lit(f"{coupon}_"), F.col("category_id"))
+def delta_columns(df: DataFrame, coupon: str = "CATEGORY_OFFER") -> DataFrame:
+    """What the sale lists add to the list below, and the coupon code of the category."""
     return df.withColumns({"delta_i": S.greatest_strict(F.col("list_c_cb") - F.col("list_b_cb"), F.lit(0.0)),
                            "delta_j": S.greatest_strict(F.col("list_d_cb") - F.col("list_c_cb"), F.lit(0.0)),
-                           "coupon_code": code}).withColumns({
+                           "coupon_code": F.concat(F.lit(f"{coupon}_"), F.col("category_id"))})
+
+
+def price_file_columns(df: DataFrame, as_of: dt.date) -> DataFrame:
+    """The columns of the price file that repeat others or are fixed; added last, so that no join moves them."""
+    return df.withColumns({
         "price_date": F.lit(as_of), "is_revenue_recognised": F.lit(0),
         **{f"vip_cashback_{x}": F.col(f"delta_{x}") if x in "ij" else F.lit(0.0) for x in LISTS},
         **{f"coupon_{x}": F.col("coupon_code") for x in LISTS}, **{f"additional_cashback_{x}": F.lit(0.0) for x in LISTS}})
 
 
+def list_deltas(df: DataFrame, as_of: dt.date, coupon: str = "CATEGORY_OFFER") -> DataFrame:
+    """What the sale lists add to the list below, the coupon code of the category, and the fixed columns of the price file."""
+    return price_file_columns(delta_columns(df, coupon), as_of)
+
+
 RIVALS = ("rival_a_price", "rival_b_price")
 
 
@@ -677,6 +687,21 @@ def deal_stage(df: DataFrame, deals: DataFrame, as_of: dt.date) -> DataFrame:
                          {"list_b_cb": price, "list_c_cb": price, "is_pushed": F.lit(1)})
 
 
+def update_stage(df: DataFrame, rivals: DataFrame, visits: DataFrame, deals: DataFrame, as_of: dt.date, policy: Policy) -> DataFrame:
+    """``push_stage`` and ``deal_stage`` as one update log: matches, pushes and deals meet the wide rows in one join."""
+    seen = visits.where(F.col("visit_date") >= F.lit(as_of - dt.timedelta(days=policy.visit_days))).where("pog_id is not null")
+    live = J.valid_on(deals, as_of, "start_date", "end_date").select("supc", "vendor_code", "deal_op")
+    deal = F.when(F.col("src_deal_op").isNull(), F.col("list_c_cb")).otherwise(F.col("selling_price") - F.col("src_deal_op"))
+    push = ((F.col("is_pushed") == 0) & (F.col("list_b_cb") > 0) & (F.col("is_enabled_with_inv") == 1)
+            & (F.col("is_hard_exception") == 0) & (F.col("_seen") == 1))
+    pair = ("supc", "vendor_code")
+    steps = [U.Update({"list_b_cb": F.col("src_matched_cb"), "is_pushed": F.lit(1)}, matched_pairs(df, rivals), pair),
+             U.Update({"is_pushed": F.lit(1)}, when=push),
+             U.Update({"is_pushed": F.lit(0)}, when=F.col("variant1_name").isNull()),
+             U.Update({"list_b_cb": deal, "list_c_cb": deal, "is_pushed": F.lit(1)}, live, pair, exact=True)]
+    return U.update_sequence(J.membership_flag(df, seen, ["pog_id"], "_seen"), pair, steps, casefold=True).drop("_seen")
+
+
 # ---- the whole batch ----------------------------------------------------------------------------------------------------
 
 
@@ -717,8 +742,9 @@ def run(t, as_of: dt.date, policy: Policy = Policy(), stage_dir: str | None = No
     priced = lambda: rounding_stage(cashback_stage(flagged, t.pushed_status, t.exception_mapping, as_of, policy), t.price_points)
     lists = stage("lists", lambda: list_stage(priced(), policy))
     # the match reads few columns of the lists, so this narrow step is cheaper twice than written
-    offers = list_deltas(clamp_stage(overlay_stage(lists)), as_of)
-    final = stage("final", lambda: deal_stage(push_stage(offers, t.price_match_list, t.pog_visits, as_of, policy), t.deals, as_of))
+    offers = delta_columns(clamp_stage(overlay_stage(lists)))
+    final = stage("final", lambda: price_file_columns(
+        update_stage(offers, t.price_match_list, t.pog_visits, t.deals, as_of, policy), as_of))
     if snapshot_dir:
         commit_snapshot(final, snapshot_dir, as_of)
     return {"base": base, "exceptions": flagged, "lists": lists, "final": final}

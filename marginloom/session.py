@@ -28,5 +28,15 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder for written stages: the shared one the cluster names, a fresh local one only where it names none."""
-    return spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="marginloom-")
+    """The folder for written stages that the cluster names in ``spark.checkpoint.dir``.
+
+    A local session without one gets a fresh folder; on a cluster, whose executors would each write to a disk of
+    their own, its absence is an error.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return tempfile.mkdtemp(prefix="marginloom-")

@@ -198,7 +198,7 @@ def test_one_scan_and_no_join_of_the_rows(spark, tmp_path):
     counts.write.parquet(str(tmp_path / "counts"))
     weights = EN.weigh_many(spark.read.parquet(str(tmp_path / "counts")), 20)
     plan = EN.apply_many(test, weights, ["a", "b"])._jdf.queryExecution().optimizedPlan().toString().splitlines()
-    outer = [x for x in plan if not x.startswith(":")]  # the packed dictionary is a subquery
+    outer = [x for x in plan if not x.lstrip().startswith(":")]  # the packed dictionary is a subquery
     assert len(outer) < len(plan) and not any("Join" in x or "Exchange" in x for x in outer)
     assert EN.count_many(train.limit(0), ["a"], "y").count() == 0
     assert [r.a for r in EN.apply_many(test, weights.limit(0), ["a"], default=-1.0).collect()] == [-1.0] * 4
