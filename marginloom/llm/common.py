@@ -7,11 +7,12 @@ key never depends on a locale or on a Unicode version.
 from __future__ import annotations
 
 import string
-import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marginloom.session import shared_dir
+
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Seed that ``xxhash64`` of Spark uses; the Python side hashes with the same one.
@@ -19,13 +20,10 @@ XX_SEED = 42
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder the cluster names in ``spark.checkpoint.dir``; a fresh local one only where it names none."""
-    context = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not named:
-        named = tempfile.mkdtemp(prefix="marginloom-checkpoint-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(named)
+    """The shared folder the cluster names in ``spark.checkpoint.dir``; a fresh one only for a local session without any."""
+    named = shared_dir(spark)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(named)
     return named
 
 
