@@ -53,6 +53,8 @@ def apply_woe(df: DataFrame, dictionary: DataFrame, category: str, out: str | No
     return joined.withColumn(out or category, value).drop("_w")
 
 
+#: Columns that a one-hot frame gets at most.
+ONE_HOT_COLUMNS = 5_000
 #: Entries of a dictionary that are packed into one value at most; more are joined.
 PACKED_ENTRIES = 20_000
 #: Stands between a variable and its category in a packed key.
@@ -145,10 +147,12 @@ def apply_vocab(df: DataFrame, vocab: DataFrame, category: str, other: str = "ot
 def one_hot(df: DataFrame, category: str, vocab: DataFrame, prefix: str = "") -> DataFrame:
     """One 0/1 column per vocabulary entry; unseen and missing values give all zeros.
 
-    The columns of a frame are known to the driver, so the vocabulary is too, whatever its size. Where that is
-    too wide for a frame, ``one_hot_vector`` gives one sparse column.
+    The columns of a frame are known to the driver, so the vocabulary is too. One of more than ``ONE_HOT_COLUMNS``
+    entries is refused: ``one_hot_vector`` gives one sparse column.
     """
-    rows = vocab.select(category).orderBy(category).collect()
+    rows = vocab.select(category).orderBy(category).limit(ONE_HOT_COLUMNS + 1).collect()
+    if len(rows) > ONE_HOT_COLUMNS:
+        raise ValueError(f"more than {ONE_HOT_COLUMNS} categories; use one_hot_vector")
     hit = {f"{prefix}{r[0]}": F.coalesce((F.col(category) == r[0]).cast("int"), F.lit(0)) for r in rows}
     return df.withColumns(hit)
 

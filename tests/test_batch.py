@@ -2,6 +2,9 @@
 
 import datetime as dt
 import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from marginloom.operators.aggregates import trailing_sales
 from marginloom.operators.daily import TrailingState
 from marginloom.operators.updates import Update, update_log, update_sequence
 from marginloom.plans import return_risk as R
+from marginloom.session import shared_dir
 from marginloom.sources import snapshots as SN
 from marginloom.sources.versions import Conflict, Versions
 
@@ -202,3 +206,40 @@ def test_one_scan_and_no_join_of_the_rows(spark, tmp_path):
     assert len(outer) < len(plan) and not any("Join" in x or "Exchange" in x for x in outer)
     assert EN.count_many(train.limit(0), ["a"], "y").count() == 0
     assert [r.a for r in EN.apply_many(test, weights.limit(0), ["a"], default=-1.0).collect()] == [-1.0] * 4
+
+
+def test_a_vocabulary_too_wide_for_columns_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(EN, "ONE_HOT_COLUMNS", 3)
+    vocab = spark.createDataFrame([(c,) for c in "abcd"], "c string")
+    assert len(EN.one_hot(vocab, "c", vocab.where("c < 'd'")).columns) == 4
+    with pytest.raises(ValueError):
+        EN.one_hot(vocab, "c", vocab)
+
+
+# ---- session and registry -----------------------------------------------------------------------
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark):
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+        conf = type("Conf", (), {"get": lambda self, key, default=None: default})()
+    with pytest.raises(RuntimeError):
+        shared_dir(Session())
+    Context.master = "local[8]"
+    assert shared_dir(Session())
+
+
+def test_the_other_queries_register_where_a_library_is_missing():
+    code = """
+import sys
+sys.modules['public_tokenizers'] = None
+import __spark_entry__ as e
+assert 'op1_mix_sources' not in e.queries() and len(e.queries()) > 130 and set(e.oracle_sql()) <= set(e.queries())
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parent.parent)
