@@ -211,7 +211,7 @@ def test_one_scan_and_no_join_of_the_rows(spark, tmp_path):
 def test_a_vocabulary_too_wide_for_columns_is_refused(spark, monkeypatch):
     monkeypatch.setattr(EN, "ONE_HOT_COLUMNS", 3)
     vocab = spark.createDataFrame([(c,) for c in "abcd"], "c string")
-    assert len(EN.one_hot(vocab, "c", vocab.where("c < 'd'")).columns) == 4
+    assert len(EN.one_hot(vocab, "c", vocab.where("c < 'd'"), prefix="is_").columns) == 4
     with pytest.raises(ValueError):
         EN.one_hot(vocab, "c", vocab)
 
