@@ -121,6 +121,38 @@ def test_components_of_long_chains(spark):
     assert set(roots.values()) == {0, 1000} and roots[200] == 0 and roots[1049] == 1000
 
 
+def without_repeated_lines(rows, min_chars=40, min_docs=5):
+    """{(id, text): kept text} by the rule as written."""
+    def key(line):
+        return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(" \t\n\x0b\x0c\r"))
+    holders = defaultdict(set)
+    for i, text in rows:
+        for line in (text or "").split("\n"):
+            if i is not None and len(key(line)) >= min_chars:
+                holders[key(line)].add(i)
+    lost = {k: max(ids) for k, ids in holders.items() if len(ids) >= min_docs}
+    return {(i, t): "\n".join(x for x in (t or "").split("\n") if i is None or lost.get(key(x), i) == i) for i, t in rows}
+
+
+def test_an_id_with_a_third_of_the_rows_and_very_long_documents(docs_of):
+    rnd = random.Random(4)
+    pool = [f"line {n} " + "shared words of a passage " * 2 for n in range(60)]
+    rows = [(7 if n % 3 == 0 else n, "\n".join(rnd.choice([*pool, "", " short ", f"own {n} " + "x" * 40]) for _ in range(rnd.randint(0, 30)))) for n in range(300)]
+    rows += [(7, rows[0][1])] * 50 + [(None, pool[0]), (11, None)]
+    long_lines = [f"{n} of many distinct lines, each long enough to count" for n in range(16_000)]
+    rows += [(1000 + n, "\n".join([f"first {n}", *long_lines[::1 if n % 2 else -1], "last"])) for n in range(5)]
+    want = without_repeated_lines(rows)
+    got = linededup.drop_repeated_lines(docs_of(rows)).collect()
+    kept = defaultdict(list)
+    for i, t in rows:
+        kept[i].append((want[i, t] if t is not None or want[i, t] else t, len((t or "").split("\n"))))
+    mine = defaultdict(list)
+    for r in got:
+        mine[r.doc_id].append((r.text, r.n_lines))
+    order = {k: sorted(v, key=str) for k, v in kept.items()}
+    assert {k: sorted(v, key=str) for k, v in mine.items()} == order
+
+
 def test_line_dedup_query_equals_sql(spark, duck):
     name = "op6_drop_repeated_lines"
     status, rows, _, note = compare(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], SF)
