@@ -1,4 +1,4 @@
-"""Queries over boosted trees, interval joins and wide correlations."""
+"""Queries over boosted trees, interval joins, wide correlations and CSV part files of unknown types."""
 
 from __future__ import annotations
 
@@ -16,6 +16,7 @@ from marginloom.operators import models as M
 from marginloom.operators import moments as MO
 from marginloom.plans import delivery as D
 from marginloom.session import shared_dir
+from marginloom.sources import csvfiles as CS
 
 # ---- boosted trees ------------------------------------------------------------------------------
 
@@ -51,12 +52,13 @@ def rto_boosted(f: Frames):
 
 @query(f"select unnest({BOOSTED_VARS}) as feature, unnest({[c in EXPLAINING for c in BOOSTED_VARS]}) as explains, true as apart, 1.0::double as total")
 def rto_gain_importance(f: Frames):
-    """Total gain per feature from the saved trees' nodes; ``apart``: a feature holds over a hundredth of it just if the target depends on it."""
+    """Total gain per feature from the saved trees' nodes; ``apart``: the features that the target depends on hold more of it than any other."""
     path, _ = _boosted_risk(f)
-    table = BO.gain_importance(BO.node_table(f.spark, path, BOOSTED_VARS), BOOSTED_VARS)
-    total = table.agg(F.round(F.sum("importance"), 6)).scalar()
-    explains = F.col("feature").isin(EXPLAINING)
-    return table.select("feature", explains.alias("explains"), ((F.col("importance") > 0.01) == explains).alias("apart"), total.alias("total"))
+    table = BO.gain_importance(BO.node_table(f.spark, path, BOOSTED_VARS), BOOSTED_VARS).withColumn("explains", F.col("feature").isin(EXPLAINING))
+    share = F.col("importance")
+    total = table.agg(F.round(F.sum(share), 6)).scalar()
+    least, most = table.where("explains").agg(F.min(share)).scalar(), table.where("NOT explains").agg(F.max(share)).scalar()
+    return table.select("feature", "explains", F.when(F.col("explains"), share > most).otherwise(share < least).alias("apart"), total.alias("total"))
 
 
 PROMISE_VARS = ["dc_o2a_7", "oc_o2a_7", "day_quarter"]
@@ -130,3 +132,34 @@ def corr_matrix_wide(f: Frames):
     wide = f.deliveries.select(*[F.expr(e).alias(c) for c, e in WIDE.items()])
     out = MO.corr_matrix_wide(wide, _NAMES)
     return out.select(F.concat_ws("_", "var_a", "var_b").alias("pair"), F.coalesce(F.round("corr", 6) + F.lit(0.0), F.lit(9.0)).alias("corr"))
+
+
+# ---- CSV part files -----------------------------------------------------------------------------
+
+#: What is planted into a line, by the number of the order: the first that fits.
+PLANTED = (("columns", "o_orderkey % 89 = 0"), ("o_totalprice", "o_orderkey % 97 = 0"), ("o_orderdate", "o_orderkey % 101 = 0"))
+PLANT = "case " + " ".join(f"when {c} then '{r}'" for r, c in PLANTED) + " end"
+
+
+@query(f"""select {PLANT} as reason, count(*) as n, case when {PLANT} is null then round(sum(o_totalprice), 2) end as total,
+   case when {PLANT} is null then min(cast(o_orderdate as date)) end as first_day, case when {PLANT} is null then cast(sum(o_custkey) as bigint) end as customers,
+   case when {PLANT} is null then cast(count(*) filter (o_orderkey % 3 = 0) as bigint) end as noted from orders group by 1""")
+def csv_scan(f: Frames):
+    """Orders as CSV part files with two headers and planted bad lines; types found, good rows read, bad lines counted by reason."""
+    folder = f"{shared_dir(f.spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    orders = f.spark.read.parquet(f"{f.sf_dir}/orders.parquet").withColumn("plant", F.expr(PLANT))
+    text = {"o_orderkey": F.col("o_orderkey").cast("string"), "o_custkey": F.col("o_custkey").cast("string"),
+            "o_totalprice": F.when(F.col("plant") == "o_totalprice", "n/a").otherwise(F.col("o_totalprice").cast("string")),
+            "o_orderdate": F.when(F.col("plant") == "o_orderdate", "soon").otherwise(F.to_date("o_orderdate").cast("string")),
+            "note": F.lit('"a, b"')}
+    for header, rows in ((["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"], "o_orderkey % 3 <> 0"),
+                         (["note", "o_orderdate", "o_totalprice", "o_custkey", "o_orderkey"], "o_orderkey % 3 = 0")):
+        line = F.concat(F.concat_ws(",", *[text[c] for c in header]), F.when(F.col("plant") == "columns", ",one,more").otherwise(""))
+        # a file of its own per partition, its header first
+        bodies = orders.where(rows).select(line.alias("value")).repartition(3)
+        CS.write_lines(bodies, f"{folder}/{len(header)}", ",".join(header))
+    scan = CS.scan_csv(f.spark, [f"{folder}/4", f"{folder}/5"], max_bad=0.05)
+    good = scan.good.agg(F.lit(None).cast("string").alias("reason"), F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"),
+                         F.min("o_orderdate").alias("first_day"), F.sum("o_custkey").cast("bigint").alias("customers"), F.count("note").alias("noted"))
+    bad = scan.bad.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return good.unionByName(bad, allowMissingColumns=True)
