@@ -128,7 +128,8 @@ def held_out(id_: Column, folds: int = 5) -> Column:
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
     """(text, label, weight, part): the labelled rows to learn from, smallest hash first; part 0 fits, part 1 calibrates.
 
-    A row's weight is the number of labelled rows that it stands for, so that the classes keep their shares at any size.
+    An id gives one row, that of the smallest text hash, however often it is repeated, so the caps bound rows.
+    A row's weight is the number of labelled ids that it stands for, so that the classes keep their shares at any size.
     """
     known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isin(0, 1) & ~held_out(F.col(id_col)))
              .groupBy(F.col(id_col).alias("labelled")).agg(F.max(label_col).cast("int").alias("label"))
@@ -139,6 +140,8 @@ def _sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, labe
     # at most SAMPLE_TOXIC + SAMPLE_OTHER rows of 32 bytes
     chosen = F.broadcast(picked[0].unionByName(picked[1]))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(chosen, F.col("id") == F.col("labelled"))
+    rows = rows.groupBy("labelled", "label", "weight", "h").agg(
+        F.min(F.struct(F.xxhash64("text").alias("of"), F.col("text").alias("text"))).alias("m")).select("m.text", "label", "weight", "h")
     return cut(rows.select("text", "label", "weight", F.pmod(F.col("h"), 4).eqNullSafe(0).cast("int").alias("part")))
 
 

@@ -131,6 +131,18 @@ def test_scores_keep_the_share_of_labels_when_the_sample_is_capped(spark, docs_o
     assert abs(sum(r.score for r in got) / len(got) - 0.2) < 0.08 and not any(r.predicted for r in got)
 
 
+def test_a_repeated_id_is_one_row_of_the_sample(spark, docs_of):
+    """An id that holds most rows, with texts of its own, gives the sample one row; the smallest text hash says which."""
+    rows, labels = toxic_rows(80)
+    rows += [(4, f"text {i % 40}") for i in range(4_000)] + [(4, None)] * 10
+    known = spark.createDataFrame(labels, "doc_id long, toxic int")
+    first, again = ({tuple(r) for r in toxicity._sample(docs, known, "doc_id", "text", "toxic").collect()}
+                    for docs in (docs_of(rows), docs_of(rows[::-1]).repartition(5)))
+    learned = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i, _ in labels)
+    assert len(first) <= learned and first == again
+    assert toxicity._sample(docs_of(rows), known, "doc_id", "text", "toxic").count() == learned
+
+
 def test_toxicity_without_labels(spark, docs_of):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.score_documents(docs_of([(1, "a"), (2, None)]), none).collect()} == {0.0}
