@@ -320,10 +320,12 @@ def update_from(f: Frames):
    from listings l join products p on p.product_sid = l.product_sid
    left join brand_rules r on r.brand_id = p.brand_id"""))
 def distinct_after_join(f: Frames):
-    # Rules are reduced to different rows first, which keeps the fan-out and the final distinct small.
+    # Rules are reduced to different rows and meet the products, which are fewer than the listings and have many keys
+    # where brands have few; the join by product then also serves the distinct.
     rules = f.brand_rules.select("brand_id", "is_exception", "hard_exception").distinct()
-    listed = f.listings.select("product_sid", "vendor_sid").join(f.products.select("product_sid", "brand_id"), "product_sid")
-    return listed.join(rules, "brand_id", "left").select("product_sid", "vendor_sid", "is_exception", "hard_exception").distinct()
+    ruled = f.products.select("product_sid", "brand_id").distinct().join(rules, "brand_id", "left").drop("brand_id")
+    return f.listings.select("product_sid", "vendor_sid").join(ruled, "product_sid").select(
+        "product_sid", "vendor_sid", "is_exception", "hard_exception").distinct()
 
 
 # ---- aggregates -----------------------------------------------------------------------------------
