@@ -357,3 +357,29 @@ def test_conditional_distinct_ignores_missing_codes(spark):
     df = spark.createDataFrame([("k", "c1", 1), ("k", "c1", 9), ("k", None, 9)], "k string, c string, x int")
     out = A.conditional_distinct(df, ["k"], "c", {"big": F.col("x") > 5}, {"any_big": F.col("x") > 5}, total="n")
     assert values(out, "n", "big", "any_big") == [(1, 1, 1)]
+
+
+def test_an_update_chooses_and_joins_its_source_in_one_partitioning(spark):
+    target = spark.createDataFrame([("A", 1), ("b", 2)], "k string, v int")
+    source = spark.createDataFrame([("a", 5, 1), ("A", 7, 2), ("x", 9, 1)], "key string, w int, day int")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = J.update_from(target, source, {"k": "key"}, {"v": F.col("src_w")}, casefold=True, newest_first=[F.desc("day")])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2  # one per side
+        assert sorted(tuple(r) for r in out.collect()) == [("A", 7), ("b", 2)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_lookups_that_multiply_rows_come_after_those_by_item_and_vendor(spark):
+    from marginloom.bindings.frames import AS_OF, Frames
+    from marginloom.bindings.pricing import POLICY
+    t = Frames(spark, "/root/testdata/sf0.001")
+    keys = [k for k, _ in P.build_profiles(t, AS_OF, POLICY, t.vendors).by_key]
+    at = keys.index
+    for wide in (("supc",), ("supc", "vendor_code"), ("brand_id", "vendor_code"), ("product_sid", "vendor_sid")):
+        assert at(wide) < min(at(("brand_id",)), at(("subcategory_id",)), at(("subcategory_id", "vendor_code")))
+    # the last join deals the rows for the distinct, so its key is one of many values
+    assert keys[-1] == ("subcategory_id", "vendor_code")
