@@ -128,7 +128,8 @@ def listing_base(listings: DataFrame, financials: DataFrame, products: DataFrame
     """Listings of the universe with prices, fees, weight slab, margin share, stock flags and recent sales.
 
     The universe, fees and pair sales share the listing's own key, so they meet in one partitioning and
-    cut the rows down before the wider joins.
+    cut the rows down before the wider joins. Prices are also joined by the folded codes, by which ``financial_override``
+    leaves them, so they aren't moved again; group sales meet the products, which are fewer than the listings.
     """
     # Only the five switches and the stock comparison are needed from the inventory columns.
     switches = sum((F.coalesce((F.col(c) == 1).cast("int"), F.lit(0)) for c in (
@@ -140,11 +141,13 @@ def listing_base(listings: DataFrame, financials: DataFrame, products: DataFrame
         ((switches == 5) & S.is_true(F.col("inventory") > F.col("inventory_sold"))).cast("int").alias("is_enabled_with_inv"),
         S.nz("internal_cashback").alias("vip_cashback"), F.col("updated").alias("vip_updated"))
     priced = financials.select(
-        F.col("supc"), F.col("seller_code").alias("vendor_code"), "selling_price", "seller_price", "oneship_charges",
+        F.col("supc").alias("_s"), F.col("seller_code").alias("_v"), "selling_price", "seller_price", "oneship_charges",
         "fixed_margin_amount", F.col("fulfillment_charges").alias("_fulfillment"), "logistics_cost",
         F.col("closing_fee").alias("_closing"), "payment_collection_charges", "rto_forward", "rpr_forward")
+    same = [F.col("supc") == F.col("_s"), F.col("vendor_code") == F.col("_v"),
+            F.lower("supc") == F.lower("_s"), F.lower("vendor_code") == F.lower("_v")]
     joined = (vip.join(universe, PAIR).join(fees, PAIR, "left").join(pair_sales, PAIR, "left")
-              .join(priced, ["supc", "vendor_code"]).join(products, "product_sid").join(group_sales, "pog_id", "left"))
+              .join(priced, same).drop("_s", "_v").join(products.join(group_sales, "pog_id", "left"), "product_sid"))
     rto_default = F.when(F.col("rto_forward") == F.col("logistics_cost"), 0.0).otherwise(F.col("rto_forward"))
     return joined.select(
         "supc", "vendor_code", *PAIR, "pog_id", "bucket_id", "subcategory_id", "subcategory_name", "category_id", "category_name", "new_supercategory",

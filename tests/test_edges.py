@@ -383,3 +383,17 @@ def test_lookups_that_multiply_rows_come_after_those_by_item_and_vendor(spark):
         assert at(wide) < min(at(("brand_id",)), at(("subcategory_id",)), at(("subcategory_id", "vendor_code")))
     # the last join deals the rows for the distinct, so its key is one of many values
     assert keys[-1] == ("subcategory_id", "vendor_code")
+
+
+def test_prices_lie_where_the_override_leaves_them(spark):
+    from marginloom.bindings.frames import AS_OF, Frames
+    from marginloom.bindings.pricing import POLICY
+    t = Frames(spark, "/root/testdata/sf0.001")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = P.base_from(t, AS_OF, POLICY)._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert sum("Exchange hashpartitioning(lower(supc" in x for x in plan) == 2  # listings and financials, each once
+        assert not any(x.split("Exchange ")[1].startswith("hashpartitioning(supc") and "vendor_code" in x for x in plan if "Exchange " in x)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
