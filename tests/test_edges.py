@@ -385,6 +385,33 @@ def test_lookups_that_multiply_rows_come_after_those_by_item_and_vendor(spark):
     assert keys[-1] == ("subcategory_id", "vendor_code")
 
 
+def _exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_lookups_of_a_vendor_share_one_move_of_the_listings(spark):
+    rows = lambda data, schema: spark.createDataFrame(data, schema)
+    base = rows([("A", "V", "b", "c", "g", 1.0), ("B", "w", "b", "d", "h", 1.0)],
+                "supc string, vendor_code string, brand_id string, subcategory_id string, pog_id string, seller_price double")
+    by_key = [(("vendor_code",), [rows([("V", 1)], "vendor_code string, x int")]),
+              (("brand_id", "vendor_code"), [rows([("b", "V", 2), ("b", "V", 3)], "brand_id string, vendor_code string, y int")]),
+              (("subcategory_id", "vendor_code"), [rows([("c", "V", 4)], "subcategory_id string, vendor_code string, z int"),
+                                                   rows([("d", "w", 5)], "subcategory_id string, vendor_code string, u int")])]
+    p = P.Profiles(bids=rows([("v", 6)], "vendor_code string, bid int"), active=rows([("a", "v", 7)], "supc string, seller_code string, active_bid int"),
+                   terms=rows([("b", "v", "t", "r", 1.0, 1.0)], "brand_id string, seller_code string, ro_type string, rule string, amount double, ratio double"),
+                   pogs=rows([("g",)], "pog_id string"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few, all_ = (P.attach_profiles(base, P.Profiles(k, p.bids, p.active, p.terms, pogs=p.pogs)) for k in (by_key[:1], by_key))
+        assert _exchanges(all_) - _exchanges(few) == 2  # those of the tables themselves
+        assert _exchanges(all_.distinct()) == _exchanges(all_)
+        got = sorted(tuple(r) for r in all_.select("supc", "x", "y", "z", "u", "bid", "active_bid", "high_cb_pog").collect())
+        assert got == [("A", 1, 2, 4, None, 6, 7, 1), ("A", 1, 3, 4, None, 6, 7, 1), ("B", None, None, None, 5, None, None, 0)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def test_prices_lie_where_the_override_leaves_them(spark):
     from marginloom.bindings.frames import AS_OF, Frames
     from marginloom.bindings.pricing import POLICY
