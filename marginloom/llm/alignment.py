@@ -21,6 +21,7 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +64,9 @@ def pieces(a: np.ndarray, b: np.ndarray, size: int = PIECE) -> list[tuple[int, i
     return [(*x, *y) for x, y in zip(edges, edges[1:]) if x != y]
 
 
-def merged_piece(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of one piece, all as indexes into the whole lists: (A tokens, B tokens) that end together, (A tokens, B tokens) that overlap.
+def merged_piece(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int], overlaps: bool = True) -> tuple[np.ndarray, ...]:
+    """Of one piece, all as indexes into the whole lists: (A tokens, B tokens) that end together and, unless left out, (A tokens,
+    B tokens) that overlap.
 
     Each interval between neighbouring ends of the merged list lies in one A and one B token, those whose ends come
     next; an interval without bytes, which follows a shared end, counts once.
@@ -73,6 +75,8 @@ def merged_piece(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int]) ->
     x, y = a[i:i_to], b[j:j_to]
     where = np.searchsorted(y, x)
     common = np.flatnonzero((where < len(y)) & (y[np.minimum(where, max(len(y) - 1, 0))] == x)) if len(x) and len(y) else np.zeros(0, np.int64)
+    if not overlaps:
+        return common + i, where[common] + j
     in_b = np.r_[where + j, np.arange(j, j_to)]  # the token of B over the interval that an end of A closes, and B's own
     in_a = np.r_[np.arange(i, i_to), np.searchsorted(x, y) + i]
     ends = np.r_[x, y]
@@ -81,10 +85,10 @@ def merged_piece(a: np.ndarray, b: np.ndarray, at: tuple[int, int, int, int]) ->
     return common + i, where[common] + j, in_a[once], in_b[once]
 
 
-def aligned(a: np.ndarray, b: np.ndarray, size: int = PIECE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def aligned(a: np.ndarray, b: np.ndarray, size: int = PIECE, overlaps: bool = True) -> tuple[np.ndarray, ...]:
     """The pieces' results in order; a group's tokens run from the shared end before it to its own."""
-    found = [merged_piece(a, b, p) for p in pieces(a, b, size)]
-    return tuple(np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else [()] * 4))
+    found = [merged_piece(a, b, p, overlaps) for p in pieces(a, b, size)]
+    return tuple(np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else [()] * (4 if overlaps else 2)))
 
 
 class PieceTable:
@@ -110,6 +114,42 @@ class PieceTable:
         return kept[path]
 
 
+class ShortPieces:
+    """Ids of short pieces by tiktoken, which joins the two neighbours that spell the earliest merged token.
+
+    A merge list joins them only if they are the two its merge names. Neighbours that spell a token but aren't named
+    come up just if the token's own bytes don't become that token. So where all tokens do, both give the same ids.
+    """
+
+    def __init__(self, merges: bpe.MergeList):
+        spelt = merges.bytes_of
+        self.ids = [*merges.single, *merges.made]
+        ranks = {spelt[i]: n for n, i in enumerate(self.ids)}
+        if len(ranks) < len(self.ids) or any(merges.encode(spelt[i]) != [i] for i in merges.made):
+            raise ValueError("a token that its own bytes don't become")
+        self.encode = tiktoken.Encoding("merges", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def __call__(self, piece: str) -> list[int]:
+        return list(map(self.ids.__getitem__, self.encode(piece)))
+
+
+def short_pieces(merges: bpe.MergeList) -> ShortPieces | None:
+    """None where the vocabulary doesn't allow it: the merge list is used then."""
+    try:
+        return ShortPieces(merges)
+    except ValueError:
+        return None
+
+
+def word_encoder(json_path: str, pattern: str) -> bpe.Encoder:
+    """The encoder that this worker process keeps from task to task."""
+    kept = vars(sys).setdefault("_marginloom_word_encoders", {})
+    if (key := (json_path, pattern)) not in kept:
+        merges = bpe.of_process(json_path).merges
+        kept[key] = bpe.Encoder(merges, pattern, None, WORDS, short_pieces(merges))
+    return kept[key]
+
+
 class Spelling:
     """Bytes and lengths of both vocabularies' ids, and how an id is written before each separator."""
 
@@ -147,10 +187,11 @@ class Portion:
         """n_a, n_b, groups, links of every text, and its overlaps."""
         n_a, n_b = (np.array([len(x) for x in ids], dtype=np.int64) for ids in (self.a_ids, self.b_ids))
         a, b = (np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=n.sum()) for ids, n in ((self.a_ids, n_a), (self.b_ids, n_b)))
-        end_a, end_b, over_a, over_b = aligned(np.cumsum(self.spelling.a_size[a]), np.cumsum(self.spelling.b_size[b]), size)
+        found = aligned(np.cumsum(self.spelling.a_size[a]), np.cumsum(self.spelling.b_size[b]), size, overlaps)
+        end_a, end_b = found[:2]
         of = np.repeat(np.arange(len(n_a)), n_a)  # the text of a token of A
         lists = []
-        for x, y in ((end_a, end_b), (over_a, over_b))[:2 if overlaps else 1]:
+        for x, y in zip(found[::2], found[1::2]):
             offsets = np.r_[0, np.cumsum(np.bincount(of[x], minlength=len(n_a)))].astype(np.int32)
             lists.append(pa.ListArray.from_arrays(offsets, pa.array(a[x] * B_IDS + b[y])))
         return [pa.array(n_a), pa.array(n_b), pa.array(self._groups(a, b, end_a, end_b, n_a + n_b), pa.string()), *lists]
@@ -186,7 +227,7 @@ def align_documents(docs: DataFrame, json_path: str, pattern: str, model_path: s
     names = [id_col, "row", "n_a", "n_b", "groups", "links", "overlaps"][:7 if overlaps else 6]
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, table = bpe.of_process(json_path, pattern, special=False, words=WORDS), PieceTable.of_process(model_path)
+        encoder, table = word_encoder(json_path, pattern), PieceTable.of_process(model_path)
         spelling = Spelling.of_process(json_path, model_path, encoder.merges, table)
         made = TaskContext.get().partitionId() << 40
         for batch in batches:

@@ -19,7 +19,7 @@ import heapq
 import json
 import re
 import sys
-from collections.abc import Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from itertools import chain
 
 import numpy as np
@@ -39,6 +39,8 @@ CHUNK, BATCH_IDS = 1 << 16, 1 << 20
 #: Words in each of the two generations of a table.
 WORDS = 400_000
 _NONE = 1 << 40
+#: Letters below are letters in every version of Unicode.
+_LATIN_END = "\u0220"
 _BLANK_AFTER_SPACE = re.compile(r"\s(?= )")
 _RUNS = [regex.compile(p) for p in (r"\s*", r"\p{L}*", r"\p{N}*", r"[^\s\p{L}\p{N}]*")]
 
@@ -156,8 +158,11 @@ class Encoder:
     move up when they come again, so its memory is bounded.
     """
 
-    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = WORDS):
+    def __init__(self, merges: MergeList, pattern: str, special: Mapping[str, int] | None = None, words: int = WORDS,
+                 short: Callable[[str], Sequence[int]] | None = None):
+        """``short`` gives the ids of pieces of at most 64 characters in the merge list's place."""
         self.merges, self.pattern, self.special = merges, regex.compile(pattern), dict(special or {})
+        self.short = short or (lambda piece: merges.encode(piece.encode("utf-8", "replace")))
         self.markers = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if special else None
         self.widest = max(map(len, self.special), default=0)
         self.most, self.known, self.older, self.bare = words, {}, {}, {}
@@ -215,8 +220,8 @@ class Encoder:
             self.older, self.known = self.known, {}
         ids = self.older.get(word)
         if ids is None:
-            one_piece = word.isascii() and word.isalpha()
-            ids = tuple(self.merges.encode(b" " + word.encode()) if one_piece else self._unit(" " + word))
+            one_piece = word.isalpha() and (word.isascii() or max(word) < _LATIN_END)
+            ids = tuple(self._unit(" " + word) if not one_piece else self.short(" " + word) if len(word) < 64 else self.merges.encode(b" " + word.encode()))
         if len(word) <= 64:
             self.known[word] = ids
         return ids
@@ -231,7 +236,7 @@ class Encoder:
                 continue
             ids = self.bare.get(piece)
             if ids is None:
-                ids = self.merges.encode(piece.encode("utf-8", "replace"))
+                ids = self.short(piece) if len(piece) <= 64 else self.merges.encode(piece.encode("utf-8", "replace"))
                 if len(piece) <= 64:
                     if len(self.bare) >= self.most // 4:
                         self.bare = {}
@@ -287,7 +292,7 @@ class Decoder:
     """Ids to text: a UTF-8 state machine over the bytes of the tokens; invalid bytes become U+FFFD, unknown ids nothing."""
 
     def __init__(self, merges: MergeList):
-        self.bytes_of = merges.bytes_of
+        self.merges, self.bytes_of = merges, merges.bytes_of
         self.machine = codecs.getincrementaldecoder("utf-8")("replace")
 
     def feed(self, ids: Sequence[int], last: bool = False) -> str:

@@ -131,3 +131,31 @@ def test_repeated_ids_hot_pairs_and_empty_tables(spark, docs_of, monkeypatch):
         [(1, 0, 0, 0), (1, 3, 3, 5), (2, 0, 0, 0)]
     none = alignment.weigh_links(alignment.align_documents(docs_of([]), **PATHS), keep=["doc_id"])
     assert none.collect() == [] and none.columns == ["doc_id", "n_links", "n_best", "count_sum"]
+
+
+def test_short_pieces_equal_the_merge_list_and_the_library():
+    encoder = alignment.word_encoder(PATHS["json_path"], PATHS["pattern"])
+    assert isinstance(encoder.short, alignment.ShortPieces)
+    words = ["the", "straße", "Ünïcödé", "naïve\n", "１２３", "a\u3000b", "\x00", "<s>", "ĿĿĿ", "x" * 63, "x" * 64, "x" * 200, "don't--stop", "ab" * 31]
+    for w in words:
+        assert list(encoder._learn(w)) == A.encode(" " + w, add_special_tokens=False).ids
+        assert encoder.short(w) == encoder.merges.encode(w.encode())
+
+
+def test_a_vocabulary_with_a_token_its_bytes_do_not_become_keeps_the_merge_list():
+    merges = alignment.bpe.of_process(PATHS["json_path"]).merges
+    a, b, c = (merges.single[x] for x in b"abc")
+    odd = object.__new__(bpe.MergeList)
+    odd.single, odd.made = merges.single, [70_000, 70_001, 70_002]
+    odd.bytes_of = {i: merges.bytes_of[i] for i in merges.single} | {70_000: b"ab", 70_001: b"bc", 70_002: b"abc"}
+    odd.after = [{} for _ in range(70_003)]
+    odd.after[a][b], odd.after[b][c], odd.after[a][70_001] = 0, 1, 2  # "abc" becomes ab, c
+    assert odd.encode(b"abc") == [70_000, c]
+    assert alignment.short_pieces(odd) is None
+
+
+def test_ends_that_meet_are_found_without_the_overlaps():
+    a, b = np.cumsum([1, 2, 3, 1, 1, 4]), np.cumsum([3, 2, 1, 2, 4])
+    for size in (2, 3, 100):
+        whole, part = alignment.aligned(a, b, size), alignment.aligned(a, b, size, overlaps=False)
+        assert len(part) == 2 and all(np.array_equal(x, y) for x, y in zip(whole, part))
