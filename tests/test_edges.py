@@ -424,3 +424,45 @@ def test_prices_lie_where_the_override_leaves_them(spark):
         assert not any(x.split("Exchange ")[1].startswith("hashpartitioning(supc") and "vendor_code" in x for x in plan if "Exchange " in x)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_flags_multiply_rows_last_and_gather_nothing_after_it(spark):
+    rows = lambda data, schema: spark.createDataFrame(data, schema)
+    from marginloom.bindings.frames import AS_OF, Frames
+    from marginloom.bindings.pricing import POLICY
+    t = Frames(spark, "/root/testdata/sf0.001")
+    base = P.base_from(t, AS_OF, POLICY).limit(20).cache()
+    p = P.build_profiles(t, AS_OF, POLICY, t.vendors.select("vendor_sid"))
+    # several rules of a brand, of which two differ in nothing that a row shows once a third makes it an exception
+    several = [(b["brand_id"], i, h) for b in base.select("brand_id").distinct().collect() for i, h in ((0, 0), (1, 0), (None, 0), (1, 1), (1, 1))]
+    always = rows([(b["subcategory_id"], 1, 0) for b in base.select("subcategory_id").distinct().collect()], "subcategory_id string, sub_is int, sub_hard int")
+    swap = {("brand_id",): [rows(several, "brand_id string, br_is int, br_hard int")],
+            ("subcategory_id",): [always, *dict(p.by_key)[("subcategory_id",)][1:]]}
+    p.by_key = [(k, swap.get(k, f)) for k, f in p.by_key]
+    one, twice = P.exceptions_stage(base, p), P.exceptions_stage(base.unionByName(base), p)
+    got = sorted(map(str, one.collect()))
+    assert got and len(set(got)) == len(got) and sorted(map(str, twice.collect())) == got
+    assert {r["brand_exception"] for r in one.collect()} == {0, 1} and {r["is_exception"] for r in one.collect()} == {1}
+    shown = one.where("bad_seller = 0").groupBy("supc", "vendor_code", *[c for c in one.columns if c.startswith("variant") and c.endswith("_name")]).count()
+    assert shown.agg({"count": "min"}).first()[0] >= 2
+    # above the rows' multiplication no aggregate, sort or exchange of them is left
+    plan = one._jdf.queryExecution().optimizedPlan().toString().split("array_distinct")[0]
+    assert "Generate" in plan and "Distinct" not in plan.split("Generate")[0]
+    assert not any(x.strip(" :+-").startswith("Aggregate") and "product_name" in x for x in plan.split("Generate")[0].splitlines())
+    base.unpersist()
+
+
+def test_an_update_dealt_by_one_key_gives_the_same_rows(spark):
+    target = spark.createDataFrame([("A", "x", 1), ("a", "Y", 2), (None, "x", 3), ("b", None, 4)], "k string, m string, v int")
+    source = spark.createDataFrame([("a", "x", 5, 1), ("A", "X", 7, 2), ("a", "y", 9, 1), ("b", None, 8, 1)], "key string, n string, w int, day int")
+    run = lambda **more: J.update_from(target, source, {"k": "key", "m": "n"}, {"v": F.col("src_w")}, casefold=True, newest_first=[F.desc("day")], **more)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = run(deal="k")
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, run().collect()))
+        lookup = spark.createDataFrame([("a", 1)], "f string, z int").repartition("f")
+        met = run(deal="k").withColumn("f", F.lower("k")).join(lookup, "f", "left")
+        assert _exchanges(met) == 3  # one per side and the lookup's own
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
