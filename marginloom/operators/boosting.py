@@ -118,11 +118,17 @@ def fit(train: DataFrame, features: Sequence[str], target: str, loss, weight: st
     With ``valid`` training ends when ``patience`` rounds haven't lowered its loss, and the trees after its lowest loss are
     dropped. Without it training ends after ``rounds``. Rows without a target or with a weight that isn't positive teach nothing;
     without any row left ``ValueError`` is raised. Losses are weighted means.
+
+    Rows alike in features, target and weight teach the same, so they are counted once and then go through the rounds as one row
+    of their summed weight. With ``min_rows`` above 1, which counts rows, they stay apart.
     """
     marked = [(train, False)] + ([(valid, True)] if valid is not None else [])
     parts = [p.select(*features, F.col(target).cast("double").alias("_y"), (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("_w"),
                       F.lit(v).alias("_valid")).where("_y IS NOT NULL AND _w > 0") for p, v in marked]
     stacked = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    if min_rows <= 1:
+        alike = stacked.groupBy(*features, "_y", "_w", "_valid").agg(F.count(F.lit(1)).alias("_n"))
+        stacked = alike.withColumn("_w", F.col("_w") * F.col("_n"))
     spark = train.sparkSession
     folder = f"{shared_dir(spark).rstrip('/')}/boosting-{uuid.uuid4().hex}"
     data = _written(_assembled(stacked, features).select("_features", "_y", "_w", "_valid"), folder, 0)
@@ -167,7 +173,7 @@ def node_table(spark: SparkSession, path: str, features: Sequence[str]) -> DataF
     """The nodes of a saved model: round, node, feature (NULL: a leaf), threshold, gain, weight, n, prediction, left and right node.
 
     ``gain`` is the fall of the variance per unit of weight, so gain times weight is what the split takes off the loss's
-    second-order form.
+    second-order form. ``n`` counts the rows of the rounds: those that ``fit`` took together are one.
     """
     raw = spark.read.parquet(f"{path}/trees/*/data")
     node = F.col("nodeData") if "nodeData" in raw.columns else F.struct(*raw.columns)

@@ -93,3 +93,19 @@ def test_defined_results_without_rows(spark, days):
     assert model.transform(days.where("false")).count() == 0
     clash = model.transform(days.withColumn("score", F.lit("x")).withColumn("_f", F.lit(1)))
     assert clash.columns == ["id", "a", "b", "y", "_f", "score"] and clash.schema["score"].dataType.simpleString() == "double"
+
+
+def test_equal_rows_go_through_the_rounds_as_one(spark, tmp_path, monkeypatch):
+    data = spark.range(900).selectExpr("cast(id % 3 as double) a", "cast(id % 2 as double) b", "cast(id % 3 + id % 2 as double) y", "cast(1 + id % 2 as double) w")
+    seen = []
+    written = B._written
+    monkeypatch.setattr(B, "_written", lambda df, folder, i: seen.append(written(df, folder, i)) or seen[-1])
+    one = B.fit(data, ["a", "b"], "y", B.AsymmetricSquare(3.0), weight="w", rounds=2, depth=2)
+    assert seen[0].count() == 6 and seen[0].agg(F.sum("_w")).first()[0] == 1350.0
+    apart = B.fit(data, ["a", "b"], "y", B.AsymmetricSquare(3.0), weight="w", rounds=2, depth=2, min_rows=2)
+    assert seen[-1].count() == 900 and seen[-1].agg(F.sum("_w")).first()[0] == 1350.0
+    for p, q in zip(one.history, apart.history):
+        assert p[2] == pytest.approx(q[2], rel=1e-9)
+    points = data.distinct()
+    scores = lambda m: sorted((r["a"], r["b"], round(r["score"], 9)) for r in m.transform(points).collect())
+    assert scores(one) == scores(apart)
