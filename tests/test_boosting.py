@@ -109,3 +109,17 @@ def test_equal_rows_go_through_the_rounds_as_one(spark, tmp_path, monkeypatch):
     points = data.distinct()
     scores = lambda m: sorted((r["a"], r["b"], round(r["score"], 9)) for r in m.transform(points).collect())
     assert scores(one) == scores(apart)
+
+
+def test_delivery_days_learn_from_equal_rows_as_one_of_their_weight(spark, monkeypatch):
+    from marginloom.operators import models as M
+    data = spark.range(300).selectExpr("cast(id % 3 as double) a", "cast(id % 3 * 2 + id % 2 as double) p90", "cast(1 + id % 2 as double) n")
+    fitted = []
+    fit = M.Pipeline.fit
+    monkeypatch.setattr(M.Pipeline, "fit", lambda self, df: fitted.append(df) or fit(self, df))
+    model = M.fit_delivery_days(data, ["a"], "p90", weight="n", depth=2, rounds=2)
+    assert fitted[0].count() == 6 and fitted[0].agg(F.sum("_w")).first()[0] == 450.0
+    got = {r["a"]: r["predicted"] for r in M.score_value(model, data.select("a").distinct()).collect()}
+    for a in range(3):  # a leaf holds the weighted mean: even targets weigh 1, odd ones 2 where the target is even plus 1
+        want = data.where(F.col("a") == a).agg(F.sum(F.col("p90") * F.col("n")) / F.sum("n")).first()[0]
+        assert got[float(a)] == pytest.approx(want, abs=0.05)
