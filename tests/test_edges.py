@@ -466,3 +466,31 @@ def test_an_update_dealt_by_one_key_gives_the_same_rows(spark):
         assert _exchanges(met) == 3  # one per side and the lookup's own
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_listings_meet_products_and_prices_in_one_move(spark):
+    """Products are dealt by the item that prices lie by, so the listing's rows don't move by product as well."""
+    from marginloom.bindings.frames import AS_OF, Frames
+    from marginloom.bindings.pricing import POLICY
+    t = Frames(spark, "/root/testdata/sf0.001")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = P.base_from(t, AS_OF, POLICY)._jdf.queryExecution().executedPlan().toString().splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    moved = [below for x, below in zip(plan, plan[1:]) if "Exchange hashpartitioning(" in x and "vip_selling_price" in below]
+    by = [x for x, below in zip(plan, plan[1:]) if below in moved]
+    assert len(by) == 1 and "hashpartitioning(lower(supc" in by[0]
+
+
+def test_items_without_a_request_go_before_their_distinct(spark):
+    asked = spark.sql("SELECT * FROM VALUES ('s1', 'b', 1, 5), ('S1', 'B', 0, 4), ('s2', NULL, 1, 5) AS t(vendor_code, brand_id, enabled, updated)")
+    previous = spark.createDataFrame([("A", "S1", "b"), ("A", "S1", "b"), ("a", "s1", "B"), ("C", "S2", "b"), (None, "S1", "b"), ("D", None, "b")],
+                                     "supc string, vendor_code string, brand_id string").distinct()
+    direct = spark.createDataFrame([("Z", "S9", 1, 1)], "supc string, vendor_code string, cashback_enabled int, updated int")
+    out = P.brand_mandates(direct, asked, previous)
+    got = sorted(map(str, (tuple(r) for r in out.collect())))
+    assert got == sorted(map(str, [("Z", "S9", 1), ("A", "S1", 1), ("A", "S1", 0), ("a", "S1", 1), ("a", "S1", 0), (None, "S1", 1), (None, "S1", 0)]))
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan.split("Join LeftSemi")[0] and "Aggregate" not in plan.split("Join LeftSemi")[1]
