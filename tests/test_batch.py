@@ -174,6 +174,18 @@ def test_the_wide_rows_move_once(spark):
     assert plan.count("Join LeftOuter") == 1
 
 
+def test_one_aggregate_makes_the_log(spark):
+    """The sources' rows are stacked before they are reduced, not after; NULLs count less than any value."""
+    _, a, b = update_frames(spark)
+    steps = [Update({"price": F.col("src_p")}, a, ["c"], newest_first=["t"]), Update({"price": F.col("src_price")}, b, ["k"])]
+    log = update_log(steps, 1, casefold=True)
+    assert log._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    flat = lambda s: tuple(s) if s else None
+    assert sorted((r["_k0"], flat(r["_s0"]), flat(r["_s1"])) for r in log.collect()) == [
+        ("s1", (2, "s1", 9.0), ("S1", 100.0)), ("s2", None, ("s2", 50.0)), ("s3", (1, "s3", None), None), ("s5", (None, "S5", 2.0), None),
+        ("s9", None, ("S9", 1.0))]
+
+
 # ---- stacked encoders ---------------------------------------------------------------------------
 
 
