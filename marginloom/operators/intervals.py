@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Up to so many bands a key, rows meet all of their key's bands; with more, they look for theirs through cells.
+FEW = 32
 #: The level of intervals as wide as any double; they lie in one cell.
 OPEN_LEVEL = 2000
 
@@ -31,14 +33,25 @@ def _named(keys: Sequence[str]) -> list[str]:
     return [f"_k{i}" for i in range(len(keys))]
 
 
-def _cells(bands: DataFrame, keys: Sequence[str], low: str, high: str) -> DataFrame:
-    """(_k…, _level, _cell, _lo, _hi, _band): a band once per cell it touches, at most two."""
+def _sound(bands: DataFrame, keys: Sequence[str], low: str, high: str) -> DataFrame:
+    """(_k…, _lo, _hi, _band): bands that hold any value at all."""
     lo, hi = F.col(low).cast("double"), F.col(high).cast("double")
     sound = bands.where((lo <= hi) & ~F.isnan(lo) & ~F.isnan(hi))
     for k in keys:
         sound = sound.where(F.col(k).isNotNull())
-    base = sound.select(*[F.col(k).alias(n) for k, n in zip(keys, _named(keys))], lo.alias("_lo"), hi.alias("_hi"),
-                        level_of(lo, hi).alias("_level"), F.struct(*[c for c in bands.columns if c not in keys]).alias("_band"))
+    return sound.select(*[F.col(k).alias(n) for k, n in zip(keys, _named(keys))], lo.alias("_lo"), hi.alias("_hi"),
+                        F.struct(*[c for c in bands.columns if c not in keys]).alias("_band"))
+
+
+def crowded(bands: DataFrame, keys: Sequence[str], low: str, high: str) -> bool:
+    """Whether a key has more than ``FEW`` bands. Counted by the keys' hash: two keys of one hash can only make it true."""
+    per_key = _sound(bands, keys, low, high).groupBy(F.xxhash64(*_named(keys))).count()
+    return not per_key.where(F.col("count") > FEW).isEmpty()
+
+
+def _cells(bands: DataFrame, keys: Sequence[str], low: str, high: str) -> DataFrame:
+    """(_k…, _level, _cell, _lo, _hi, _band): a band once per cell it touches, at most two."""
+    base = _sound(bands, keys, low, high).withColumn("_level", level_of(F.col("_lo"), F.col("_hi")))
     # array_distinct, since a band inside one cell must come once
     both = F.array_distinct(F.array(cell_of(F.col("_lo"), F.col("_level")), cell_of(F.col("_hi"), F.col("_level"))))
     return base.select("*", F.explode(both).alias("_cell"))
@@ -62,7 +75,8 @@ def interval_join(left: DataFrame, bands: DataFrame, keys: Sequence[str], value:
 
     A band is found through cells of the power of two at its width, within its key: a value looks into one cell per
     width that the key's bands have, so a key with many rows and many bands doesn't multiply before the filter, and its rows
-    are dealt by cell. Only distinct values of a key look, the rows join their bands afterwards by (key, value).
+    are dealt by cell. Only distinct values of a key look, the rows join their bands afterwards by (key, value). Where no key has more
+    than ``FEW`` bands, which is counted first, there is nothing to save: rows join all bands of their key.
 
     Equal to ``joins.band_join``: touching and nested bands all match, a value on a bound matches. A NULL or NaN
     value, key or bound matches nothing, nor does a band whose low is above its high; bounds may be infinite. Values and
@@ -77,11 +91,13 @@ def interval_join(left: DataFrame, bands: DataFrame, keys: Sequence[str], value:
     if clash:
         raise ValueError(f"columns on both sides: {clash}")
     names = _named(keys)
-    looked, cells = looks(left, bands, keys, value, low, high)
-    found = looked.join(cells, [*names, "_level", "_cell"]).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
-    found = found.select(*names, "_x", "_band")
     row = left.select(F.struct("*").alias("_row"), *[F.col(k).alias(f"_l{n}") for k, n in zip(keys, names)], F.col(value).cast("double").alias("_v"))
-    met = F.col("_v") == F.col("_x")
+    if crowded(bands, keys, low, high):
+        looked, cells = looks(left, bands, keys, value, low, high)
+        found = looked.join(cells, [*names, "_level", "_cell"]).where(F.col("_x").between(F.col("_lo"), F.col("_hi")))
+        found, met = found.select(*names, "_x", "_band"), F.col("_v") == F.col("_x")
+    else:
+        found, met = _sound(bands, keys, low, high), F.col("_v").between(F.col("_lo"), F.col("_hi"))
     for n in names:
         met = met & (F.col(f"_l{n}") == F.col(n))
     if on is not None:

@@ -75,3 +75,23 @@ def test_empty_sides_and_clashes(spark):
     assert rows(IV.interval_join(left, bands.where("false"), ["k"], "x", "lo", "hi")) == [("a", 1.0, None, None, None)]
     with pytest.raises(ValueError):
         IV.interval_join(left, bands.withColumnRenamed("n", "x"), ["k"], "x", "lo", "hi")
+
+
+def test_keys_of_few_bands_are_joined_as_they_are(spark, monkeypatch):
+    """One join where no key is crowded; cells as soon as one key is, with the same rows."""
+    d = dt.date(2020, 1, 1)
+    left = spark.createDataFrame([(i % 3 if i % 13 else None, [float(i % 7), None, float("nan"), INF][0 if i % 5 else i % 4], d + dt.timedelta(days=i % 10))
+                                  for i in range(150)], "k int, x double, day date")
+    bands = spark.createDataFrame([(i % 3 if i % 8 else None, float(i % 5), [float(i % 5 + i % 3), INF, float("nan"), None][0 if i % 6 else i % 4],
+                                    d + dt.timedelta(days=i % 4), d + dt.timedelta(days=i % 4 + 3), i) for i in range(60)],
+                                  "k int, lo double, hi double, begins date, ends date, n int")
+    run = lambda how: IV.interval_join(left, bands, ["k"], "x", "lo", "hi", how, start="begins", end="ends", on="day")
+    joins = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("Join ")
+    few = [run(how) for how in ("left", "inner")]
+    most = bands.where("lo <= hi AND NOT isnan(hi) AND k IS NOT NULL").groupBy("k").count().agg({"count": "max"}).first()[0]
+    monkeypatch.setattr(IV, "FEW", most)
+    assert joins(run("left")) == 1
+    monkeypatch.setattr(IV, "FEW", most - 1)
+    many = [run(how) for how in ("left", "inner")]
+    assert [joins(x) for x in few] == [1, 1] and [joins(x) for x in many] == [3, 3]
+    assert str([rows(x) for x in few]) == str([rows(x) for x in many]) and few[1].count() > 20
