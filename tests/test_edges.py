@@ -494,3 +494,38 @@ def test_items_without_a_request_go_before_their_distinct(spark):
     assert got == sorted(map(str, [("Z", "S9", 1), ("A", "S1", 1), ("A", "S1", 0), ("a", "S1", 1), ("a", "S1", 0), (None, "S1", 1), (None, "S1", 0)]))
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" in plan.split("Join LeftSemi")[0] and "Aggregate" not in plan.split("Join LeftSemi")[1]
+
+
+def test_numbered_choices_equal_nested_products(spark):
+    df = spark.sql("""SELECT * FROM VALUES (1, array(1, 2), array('x', 'y', 'z'), array(true)), (2, array(3), NULL, array(false, true)),
+                      (3, array(), array('x'), NULL), (4, array(NULL, 5), array('u'), array(true)) AS t(i, a, b, c)""")
+    got = J.choose_each(df, ["a", "b", "c"])
+    want = df.select("i", F.explode(J.products([F.col(c) for c in "abc"], lambda h: F.struct(h[0].alias("a"), h[1].alias("b"), h[2].alias("c")))).alias("r"))
+    assert got.columns == ["i", "a", "b", "c"] and got.count() == 6 + 2 + 1 + 2
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select("i", "r.*").collect()))
+    assert "lambda" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_amounts_of_several_bids_and_terms_come_once_each(spark):
+    """Two spellings of a bid and of a brand's terms: as many rows as different amounts, with and without the mark of an exception."""
+    from marginloom.bindings.frames import AS_OF, Frames
+    from marginloom.bindings.pricing import POLICY
+    t = Frames(spark, "/root/testdata/sf0.001")
+    base = P.base_from(t, AS_OF, POLICY).limit(5).cache()
+    p = P.build_profiles(t, AS_OF, POLICY, t.vendors.select("vendor_sid"))
+    pairs = base.select("supc", F.col("vendor_code").alias("seller_code"), "brand_id").distinct()
+    p.active = pairs.select("supc", "seller_code", F.explode(F.array(*[F.lit(x) for x in (1e6, 2e6, -0.0, 0.0)])).alias("active_bid"))
+    p.terms = pairs.select("brand_id", "seller_code", F.lit("GSV").alias("ro_type"), F.lit("DEL").alias("rule"),
+                           F.explode(F.array(F.lit(1.0), F.lit(2.0), F.lit(None).cast("double"))).alias("amount"), F.lit(0.5).alias("ratio"))
+    factors = [(b["subcategory_id"], 0.1, 0.1) for b in base.select("subcategory_id").distinct().collect()]
+    clear = lambda f: f.limit(0)
+    sub = dict(p.by_key)[("subcategory_id",)]
+    brands = [(b["brand_id"], i, 0) for b in base.select("brand_id").distinct().collect() for i in (0, 1)]
+    swap = {("subcategory_id",): [clear(sub[0]), spark.createDataFrame(factors, "subcategory_id string, rto_factor double, rpr_factor double"), clear(sub[2])],
+            ("brand_id",): [spark.createDataFrame(brands, "brand_id string, br_is int, br_hard int")]}
+    p.by_key = [(k, swap.get(k, [clear(x) for x in f])) for k, f in p.by_key]
+    rows = P.exceptions_stage(base, P.Profiles(p.by_key, p.bids, p.active, p.terms, clear(p.bands), clear(p.bands_old), p.pogs)).collect()
+    priced = base.where("seller_price > 0").distinct().count()
+    assert priced and len(rows) == priced * 3 * 3 * 2  # bids of 0 are one; the mark is there with and without
+    assert len({str(r) for r in rows}) == len(rows)
+    base.unpersist()
