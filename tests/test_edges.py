@@ -529,3 +529,24 @@ def test_amounts_of_several_bids_and_terms_come_once_each(spark):
     assert priced and len(rows) == priced * 3 * 3 * 2  # bids of 0 are one; the mark is there with and without
     assert len({str(r) for r in rows}) == len(rows)
     base.unpersist()
+
+
+def test_a_match_reads_its_rows_once_and_deals_find_them_in_place(spark):
+    d = dt.date(2020, 1, 1)
+    rows = spark.range(7).selectExpr("concat('X', id) as supc", "concat('v', id div 9) as vendor_code", "id as product_sid", "900D as selling_price", "300D as seller_price", "1D as slab",
+                                     "10D as step7_list_b", "5D as list_b_cb", "6D as list_c_cb", "0 as is_hard_exception", "0 as is_pushed", "'g' as pog_id",
+                                     "1 as is_enabled_with_inv", "'n' as variant1_name")
+    rivals = spark.createDataFrame([("x1", "V0", 870.0, 880.0)], "supc string, vendor_code string, rival_a_price double, rival_b_price double")
+    visits = spark.createDataFrame([], "pog_id string, visit_date date")
+    deals = spark.createDataFrame([("X2", "v0", 70.0, d, d), ("x3", "v0", 70.0, d, d)], "supc string, vendor_code string, deal_op double, start_date date, end_date date")
+    pushed = P.push_stage(rows, rivals, visits, d, P.Policy())
+    assert pushed._jdf.queryExecution().optimizedPlan().toString().count("Range (0, 7") == 1
+    got = sorted(values(P.deal_stage(pushed, deals, d), "product_sid", "list_b_cb", "is_pushed"))
+    assert got == [(0, 5.0, 0), (1, 30.0, 1), (2, 830.0, 1), *[(i, 5.0, 0) for i in range(3, 7)]]
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lies = P.match_stage(rows, rivals)
+        assert _exchanges(P.deal_stage(lies, deals, d)) == _exchanges(lies) + 1  # that of the deals
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
